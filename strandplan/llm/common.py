@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..graphs import checkpointed as checkpoint  # noqa: F401
@@ -36,6 +36,11 @@ def text_or_empty(column: str = "text"):
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with value computed once, however often the body names it (plans inline an expression at each use)."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 # ---------------------------------------------------------------- Arrow batches
 
 
