@@ -1,5 +1,7 @@
-"""The query catalogue of the planning operators."""
+"""The query catalogue of the planning operators, and the oracle's SQL by query."""
 
-QUERIES: dict = {}
-SQL: dict = {}
-FLAGSHIP = ""
+from . import attribute_queries
+
+QUERIES: dict = {**attribute_queries.Q}
+SQL: dict = {**attribute_queries.S}
+FLAGSHIP = "a1_counts_by_source"
