@@ -206,6 +206,11 @@ def _lost(edges: DataFrame, partitions: int) -> DataFrame:
     return by_bucket(edges, reduce, "doc_id long, first int, n int", partitions)
 
 
+def _identified(docs: DataFrame) -> DataFrame:
+    """The texts that take part; the same plan for each join, so that texts are shuffled by doc_id once."""
+    return docs.where("doc_id is not null").select("doc_id", text_or_empty().alias("text"))
+
+
 def repeated_spans(docs: DataFrame, window: int = WINDOW, kmer: int = KMER) -> DataFrame:
     """doc_id, first, n: the windows first..first+n-1 (word numbers of their starts) of a document also start earlier.
 
@@ -215,7 +220,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, kmer: int = KMER) -> D
     spark = docs.sparkSession
     partitions = shuffle_partitions(spark)
     buckets = 4 * partitions
-    texts = docs.select("doc_id", text_or_empty().alias("text"))
+    texts = _identified(docs)
     repeated = _repeated(_anchors(texts, buckets, window, kmer), partitions)
     places = repeated.groupBy("doc_id").agg(F.collect_list("place").alias("places"))
     return _lost(_edges(texts.join(places, "doc_id"), buckets, window, kmer), partitions)
@@ -226,7 +231,6 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, kmer: int = KMER) -> D
 
     A null text has no words; a document without doc_id loses none.
     """
-    texts = docs.select("doc_id", text_or_empty().alias("text"))
     spans = repeated_spans(docs, window, kmer).groupBy("doc_id").agg(F.collect_list(F.struct("first", "n")).alias("spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,4 +251,5 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, kmer: int = KMER) -> D
                 kept.append(b" ".join(words))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())], ["doc_id", "n_words", "n_removed", "kept"])
 
-    return texts.join(spans, "doc_id", "left").select("doc_id", "text", "spans").mapInArrow(run, "doc_id long, n_words long, n_removed long, kept string")
+    unnamed = docs.where("doc_id is null").select("doc_id", text_or_empty().alias("text"), F.lit(None).cast("array<struct<first:int,n:int>>").alias("spans"))
+    return _identified(docs).join(spans, "doc_id", "left").select("doc_id", "text", "spans").union(unnamed).mapInArrow(run, "doc_id long, n_words long, n_removed long, kept string")
