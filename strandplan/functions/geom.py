@@ -83,3 +83,36 @@ def segments_cross(a: tuple, b: tuple) -> Column:
     o1, o2 = orient(*a, *b[:2]), orient(*a, *b[2:])
     o3, o4 = orient(*b, *a[:2]), orient(*b, *a[2:])
     return (o1 * o2 < 0) & (o3 * o4 < 0)
+
+
+def capsule_interval(a: tuple, b: tuple, r: float) -> tuple[Column, Column]:
+    """The part t_in..t_out of segment a within r of segment b (both x1, y1, x2, y2); empty if t_in > t_out.
+
+    The capsule is convex, so the part is one interval: from the least entry to the greatest exit of its two discs and its strip.
+    """
+    ax, ay, bx, by = map(_c, a)
+    cx, cy, ex, ey = map(_c, b)
+    dx, dy = bx - ax, by - ay
+    qa = dx * dx + dy * dy
+    spans = []
+    for px, py in ((cx, cy), (ex, ey)):
+        fx, fy = ax - px, ay - py
+        qb = fx * dx + fy * dy
+        disc = qb * qb - qa * (fx * fx + fy * fy - r * r)
+        root = F.sqrt(F.greatest(disc, F.lit(0.0)))
+        ok = (disc >= 0) & (qa > 0)
+        spans.append((F.when(ok, (-qb - root) / qa).otherwise(F.lit(2.0)), F.when(ok, (-qb + root) / qa).otherwise(F.lit(-1.0))))
+    ux, uy = ex - cx, ey - cy
+    size = F.sqrt(ux * ux + uy * uy)
+    lo, hi = [F.lit(-1e9)], [F.lit(1e9)]
+    for start, step, low, high in (
+        ((ax - cx) * ux + (ay - cy) * uy, dx * ux + dy * uy, F.lit(0.0), size * size),
+        ((ay - cy) * ux - (ax - cx) * uy, dy * ux - dx * uy, -r * size, r * size),
+    ):
+        inside = (start >= low) & (start <= high)
+        lo.append(F.when(step == 0, F.when(inside, F.lit(-1e9)).otherwise(F.lit(1e9))).otherwise(F.least((low - start) / step, (high - start) / step)))
+        hi.append(F.when(step == 0, F.when(inside, F.lit(1e9)).otherwise(F.lit(-1e9))).otherwise(F.greatest((low - start) / step, (high - start) / step)))
+    enter, leave = F.greatest(*lo), F.least(*hi)
+    strip = (size > 0) & (enter <= leave)
+    spans.append((F.when(strip, enter).otherwise(F.lit(2.0)), F.when(strip, leave).otherwise(F.lit(-1.0))))
+    return F.greatest(F.lit(0.0), F.least(*(s[0] for s in spans))), F.least(F.lit(1.0), F.greatest(*(s[1] for s in spans)))

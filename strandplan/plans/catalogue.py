@@ -1,7 +1,7 @@
 """The query catalogue of the planning operators, and the oracle's SQL by query."""
 
-from . import attribute_queries
+from . import attribute_queries, spatial_queries
 
-QUERIES: dict = {**attribute_queries.Q}
-SQL: dict = {**attribute_queries.S}
-FLAGSHIP = "a1_counts_by_source"
+QUERIES: dict = {**attribute_queries.Q, **spatial_queries.Q}
+SQL: dict = {**attribute_queries.S, **spatial_queries.S}
+FLAGSHIP = "a3_d3_summary"
