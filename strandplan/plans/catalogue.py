@@ -1,7 +1,8 @@
 """The query catalogue of the planning operators, and the oracle's SQL by query."""
 
-from . import attribute_queries, spatial_queries
+from . import attribute_queries, graph_queries, spatial_queries
 
-QUERIES: dict = {**attribute_queries.Q, **spatial_queries.Q}
-SQL: dict = {**attribute_queries.S, **spatial_queries.S}
+_MODULES = (attribute_queries, spatial_queries, graph_queries)
+QUERIES: dict = {k: f for m in _MODULES for k, f in m.Q.items()}
+SQL: dict = {k: s for m in _MODULES for k, s in m.S.items()}
 FLAGSHIP = "a3_d3_summary"
