@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geom
 from ..functions.layers import layer, oracle
+from ..graphs import checkpointed
 from ..operators import attributes as at
 from ..operators import intervals, spatial
 from .attribute_queries import _REUSABLE, reusable
@@ -165,7 +166,7 @@ def j8_target_snap(spark, sf):
     return best.select("seq", F.col("best.infra_seq").alias("infra_seq"), F.col("best.d").alias("d"))
 
 
-def nearest_of_all(points, targets, start: float = 500.0):
+def nearest_of_all(points, targets, start: float = 2000.0):
     """key, target of the nearest of all targets (tseq, tx, ty), by a search radius that doubles for those still without one."""
     left, found, radius = points, None, start
     while True:
@@ -173,7 +174,7 @@ def nearest_of_all(points, targets, start: float = 500.0):
         hit = pairs.select("seq", F.struct(geom.point_distance("x", "y", "tx", "ty").alias("d"), "tseq").alias("h")).where(F.col("h.d") <= radius).groupBy("seq").agg(F.min("h").alias("m"))
         hit = hit.select("seq", F.col("m.tseq").alias("tseq"))
         found = hit if found is None else found.unionByName(hit)
-        left = left.join(hit, "seq", "left_anti")
+        left = checkpointed(left.join(hit, "seq", "left_anti"))
         radius *= 4
         if radius > 1e6 or left.isEmpty():
             return found
