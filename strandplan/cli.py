@@ -15,7 +15,7 @@ from .plans.planning import STAGES, plan_areas
 from .session import local_session
 from .sources.tables import UnknownArea, one_area, write_layers
 
-INPUTS = ("bal", "za_sro", "pa", "zapa", "parcelle", "infra")
+INPUTS = ("bal", "za_sro", "pa", "zapa", "parcelle", "infra", "road")
 
 
 def parser() -> argparse.ArgumentParser:

@@ -27,7 +27,7 @@ def node_of(x: str, y: str):
 def network(infra: DataFrame, roads: DataFrame, public: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(edges, nodes): nodes are sro, node, x, y of every line end under its welded node; edges are eid, sro, u, v, type, src, statut, mode_pose, length, can, x1, y1, x2, y2: nodes within 2 m welded, the shorter of parallel edges.
 
-    public: boxes (bx0, by0, bx1, by1) of the strict public ground, which a road piece must lie on to be delivered.
+    public: boxes (kind, bx0, by0, bx1, by1) that decide the strict public ground, which a road piece must lie on to be delivered.
     """
     shape = ["x1", "y1", "x2", "y2"]
     lines = infra.select("sro", "seq", F.lit("infra").alias("type"), "src", "statut", "mode_pose", *shape)
@@ -44,7 +44,7 @@ def network(infra: DataFrame, roads: DataFrame, public: DataFrame) -> tuple[Data
     places = nodes.join(welds, "node", "left").select("sro", F.coalesce("component", "node").alias("node"), "x", "y")
     edges = checkpointed(edges.withColumn("eid", F.xxhash64("sro", "u", "v")))
     ways = edges.where("type = 'ign_route'").select("eid", *shape)
-    cover = intervals.covered(ways, public, ["eid"], cell=150.0)
+    cover = intervals.public_cover(ways, public, ["eid"], cell=150.0)
     marked = edges.join(cover, "eid", "left").withColumns({"virtual": F.lit(False), "deliverable": F.lit(True)})
     return checkpointed(marked.withColumn("can", routing.deliverable(F.col("covered"))).drop("covered", "virtual", "deliverable")), checkpointed(places)
 

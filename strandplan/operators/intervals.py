@@ -41,3 +41,33 @@ def covered(segments: DataFrame, boxes: DataFrame, key: list[str], slack: float
     islands = merged(box_hits(segments, boxes, cell, slack), key)
     whole = islands.groupBy(*key).agg(F.bool_or((F.col("t0") <= 0) & (F.col("t1") >= 1)).alias("covered"))
     return segments.select(*key).join(whole, key, "left").select(*key, F.coalesce("covered", F.lit(False)).alias("covered"))
+
+
+COMMUNAL, PARCEL, AREA = "communal", "parcel", "area"
+"""Kinds of boxes: public parcels, any parcels, service areas."""
+
+
+def public_cover(segments: DataFrame, boxes: DataFrame, key: list[str], slack: float = 0.01, cell: float = 500.0) -> DataFrame:
+    """key, covered: whether a segment lies on public ground: on communal boxes, or in an area and on no parcel.
+
+    boxes: kind, bx0, by0, bx1, by1; without a kind all are communal.  Communal boxes and areas are grown by the slack, parcels
+    shrunk by it.  The residual is decided piece by piece between the ends of a segment's intervals, never built.
+    """
+    if "kind" not in boxes.columns:
+        return covered(segments, boxes, key, slack, cell)
+    grow = F.when(F.col("kind") == PARCEL, -slack).otherwise(slack)
+    sized = boxes.select("kind", (F.col("bx0") - grow).alias("bx0"), (F.col("by0") - grow).alias("by0"), (F.col("bx1") + grow).alias("bx1"), (F.col("by1") + grow).alias("by1"))
+    # areas are far larger than parcels: a grid of their own keeps the number of cells small
+    shapes = segments.select(*key, "x1", "y1", "x2", "y2")
+    near = box_hits(shapes, sized.where(F.col("kind") != AREA), cell).select(*key, "kind", "t_in", "t_out")
+    wide = box_hits(shapes, sized.where(F.col("kind") == AREA), max(cell, 2000.0)).select(*key, "kind", "t_in", "t_out")
+    spans = near.unionByName(wide).groupBy(*key).agg(F.collect_list(F.struct("kind", "t_in", "t_out")).alias("s"))
+    cuts = F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0.0), F.lit(1.0)), F.transform("s", lambda i: i["t_in"]), F.transform("s", lambda i: i["t_out"]))))
+    listed = spans.withColumn("c", F.filter(cuts, lambda t: (t >= 0) & (t <= 1)))
+
+    def on(kind: str, mid):
+        return F.exists("s", lambda i: (i["kind"] == kind) & (i["t_in"] <= mid) & (mid <= i["t_out"]))
+
+    middles = F.zip_with(F.slice("c", 1, F.size("c") - 1), F.slice("c", 2, F.size("c") - 1), lambda a, b: (a + b) / 2)
+    whole = listed.select(*key, F.forall(middles, lambda mid: on(COMMUNAL, mid) | (on(AREA, mid) & ~on(PARCEL, mid))).alias("covered"))
+    return segments.select(*key).join(whole, key, "left").select(*key, F.coalesce("covered", F.lit(False)).alias("covered"))

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from ..functions import geom
 from ..graphs import checkpointed
 from ..operators import attributes as at
-from ..operators import intervals, placement, spatial
+from ..operators import delivery, intervals, placement, spatial
 
-STAGES = ("infra", "d3", "points", "layers")
+STAGES = ("infra", "d3", "points", "routes", "layers")
 
 
 def _boxes(df: DataFrame, *more) -> DataFrame:
@@ -42,8 +42,21 @@ def measured(bal: DataFrame, infra: DataFrame, parcels: DataFrame) -> DataFrame:
     return out.select(*bal.columns, "parcel", "d3_m", at.d3_class(F.col("d3_m")).alias("cls_d3"), flag.alias("flag"))
 
 
+def public_ground(parcels: DataFrame, za: DataFrame) -> DataFrame:
+    """Boxes by kind: what decides whether a place is on public ground."""
+    kinds = ((parcels.where(at.is_public()), intervals.COMMUNAL), (parcels, intervals.PARCEL), (za, intervals.AREA))
+    out = None
+    for df, kind in kinds:
+        one = _boxes(df, F.lit(kind).alias("kind"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def plan_areas(layers: dict[str, DataFrame], until: str = "layers") -> dict[str, DataFrame]:
-    """Delivered layers of every area in ``layers`` (bal, za_sro, pa, zapa, parcelle, infra), up to a stage of STAGES."""
+    """Delivered layers of every area in ``layers`` (bal, za_sro, pa, zapa, parcelle, infra, road), up to a stage of STAGES.
+
+    Up to "points" livrable_infra is the reusable infrastructure; from "routes" on it is the routed delivery.
+    """
     bal, za, pa, zapa, parcels = (layers[n] for n in ("bal", "za_sro", "pa", "zapa", "parcelle"))
     infra = checkpointed(energy_on_public_ground(at.reusable_of(layers["infra"]), parcels))
     out = {"livrable_infra": infra}
@@ -60,9 +73,15 @@ def plan_areas(layers: dict[str, DataFrame], until: str = "layers") -> dict[str,
     new = made.select("pa_id", "sro", F.lit("cree").alias("origine"), "snap_source", "nb_bat", "nb_prises", "x", "y")
     created = made.select(F.lit("PA_ORPHELIN_CREE").alias("flag_type"), "sro", F.col("pa_id").alias("target"))
     doubtful = made.where("flag is not null").select(F.col("flag").alias("flag_type"), "sro", F.col("pa_id").alias("target"))
-    out |= {"livrable_pa": old.unionByName(new), "livrable_pb": placement.branching_points(bal, pa, zapa, infra), "livrable_flags": flags.unionByName(created).unionByName(doubtful)}
+    pas, pbs = old.unionByName(new), checkpointed(placement.branching_points(bal, pa, zapa, infra))
+    out |= {"livrable_pa": pas, "livrable_pb": pbs, "livrable_flags": flags.unionByName(created).unionByName(doubtful)}
     if until == "points":
         return out
+    routed = delivery.delivered(infra, layers["road"], public_ground(parcels, za), pas, pbs)
+    apart = routed["outcomes"].where("outcome <> 'delivered'").select(F.concat(F.lit("PA_PB_DECONNECTES:"), "outcome").alias("flag_type"), "sro", F.col("pb_id").alias("target"))
+    out |= {"livrable_infra": routed["rows"], "livrable_flags": out["livrable_flags"].unionByName(apart)}
+    if until == "routes":
+        return out
     return out | {
         "livrable_zapa": zapa.withColumn("origine", F.lit("existant")),
         "livrable_parcelles": parcels.withColumn("is_public", at.is_public()),

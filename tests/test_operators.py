@@ -193,3 +193,22 @@ def test_progress(spark):
     df = spark.createDataFrame(list(enumerate(lines)), "n long, line string")
     got = {r.area: (r.step, r.percent) for r in progress.progress(df, "n", "line", 2).collect()}
     assert got == {"A": (11, 50.0), "B": (2, 50 + 2 * 50 / 11)}
+
+
+def test_public_cover_against_samples(spark):
+    rng = random.Random(9)
+    box = lambda kind, w: (kind, *(o := (rng.uniform(0, 40), rng.uniform(0, 40))), o[0] + rng.uniform(2, w), o[1] + rng.uniform(2, w))
+    boxes = [box("communal", 25) for _ in range(8)] + [box("parcel", 8) for _ in range(8)] + [("area", 5.0, 5.0, 45.0, 45.0)]
+    segs = [(i, *(rng.uniform(0, 50) for _ in range(2))) for i in range(80)]
+    segs = [(i, x, y, x + rng.uniform(-9, 9), y + rng.uniform(-9, 9)) for i, x, y in segs]
+    s = spark.createDataFrame(segs, "i int, x1 double, y1 double, x2 double, y2 double")
+    b = spark.createDataFrame(boxes, "kind string, bx0 double, by0 double, bx1 double, by1 double")
+    got = {r.i: r.covered for r in intervals.public_cover(s, b, ["i"], slack=0.0, cell=10.0).collect()}
+
+    def public(x, y):
+        on = {k for k, x0, y0, x1, y1 in boxes if x0 <= x <= x1 and y0 <= y <= y1}
+        return "communal" in on or ("area" in on and "parcel" not in on)
+
+    for i, x1, y1, x2, y2 in segs:
+        inner = all(public(x1 + t / 997 * (x2 - x1), y1 + t / 997 * (y2 - y1)) for t in range(998))
+        assert got[i] == inner, i

@@ -58,7 +58,7 @@ def test_areas_and_layers(spark, tmp_path):
 
 
 def test_planning_run(spark):
-    layers = {n: layer(spark, SF, n) for n in ("bal", "za_sro", "pa", "zapa", "parcelle", "infra")}
+    layers = {n: layer(spark, SF, n) for n in ("bal", "za_sro", "pa", "zapa", "parcelle", "infra", "road")}
     out = plan_areas(layers)
     counts = {k: df.count() for k, df in out.items()}
     assert len(counts) == 9 and counts["livrable_zasro"] == 25 and counts["livrable_pa"] > layers["pa"].count()
