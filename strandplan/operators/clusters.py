@@ -9,18 +9,37 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geom import key6
-from ..graphs import connected_components
-from .spatial import close_pairs
+from ..functions.geom import key6, point_distance
+from ..graphs import checkpointed, connected_components
 
 MIN_SOCKETS, MAX_SOCKETS, MAX_BRANCH_SOCKETS, KMEANS_ROUNDS = 50.0, 120.0, 10.0, 50
 
 
 def distance_clusters(points: DataFrame, node: str, radius: float, on: list[str] | None = None) -> DataFrame:
-    """points with cluster: the smallest node that chains of steps up to the radius (inclusive) reach."""
-    pairs = close_pairs(points, node, radius, on)
-    found = connected_components(pairs).withColumnRenamed("node", node)
-    return points.join(found, node, "left").withColumn("cluster", F.coalesce("component", node)).drop("component")
+    """points with cluster: the smallest node that chains of steps up to the radius (inclusive) reach.
+
+    Points of one grid cell of diagonal under the radius are one cluster already, so cells are linked, not points: by their points' boxes
+    where those tell, else by one pair near enough.  A crowded area costs its cells, not the square of its points.
+    """
+    keys = list(on or [])
+    side = radius / 1.4143
+    celled = points.withColumns({"_gx": F.floor(F.col("x") / side), "_gy": F.floor(F.col("y") / side)})
+    cells = checkpointed(celled.groupBy(*keys, "_gx", "_gy").agg(F.min(node).alias("rep"), *(f(c).alias(n) for f, c, n in ((F.min, "x", "x0"), (F.min, "y", "y0"), (F.max, "x", "x1"), (F.max, "y", "y1")))))
+    ahead = [(dx, dy) for dx in range(3) for dy in range(-2, 3) if (dx, dy) > (0, 0)]
+    to = F.explode(F.array(*(F.struct((F.col("_gx") + dx).alias("_gx"), (F.col("_gy") + dy).alias("_gy")) for dx, dy in ahead))).alias("to")
+    box = ["rep", "x0", "y0", "x1", "y1"]
+    left = cells.select(*keys, *(F.col(c).alias("a_" + c) for c in box), to).select(*keys, *("a_" + c for c in box), "to.*")
+    pairs = left.join(cells.select(*keys, "_gx", "_gy", *(F.col(c).alias("b_" + c) for c in box)), [*keys, "_gx", "_gy"])
+    gap = [F.greatest(F.lit(0.0), F.col(f"b_{c}0") - F.col(f"a_{c}1"), F.col(f"a_{c}0") - F.col(f"b_{c}1")) for c in "xy"]
+    span = [F.greatest(F.col(f"b_{c}1") - F.col(f"a_{c}0"), F.col(f"a_{c}1") - F.col(f"b_{c}0")) for c in "xy"]
+    near, far = (F.sqrt(d[0] * d[0] + d[1] * d[1]) for d in (gap, span))
+    pairs = checkpointed(pairs.where(near <= radius).select("a_rep", "b_rep", (far <= radius).alias("sure")))
+    member = celled.join(cells.select(*keys, "_gx", "_gy", "rep"), [*keys, "_gx", "_gy"])
+    open_ = pairs.where("not sure").select("a_rep", "b_rep")
+    ends = [member.select(F.col("rep").alias(f"{s}_rep"), F.col("x").alias(f"{s}x"), F.col("y").alias(f"{s}y")) for s in "ab"]
+    met = open_.join(ends[0], "a_rep").join(ends[1], "b_rep").where(point_distance("ax", "ay", "bx", "by") <= radius).select("a_rep", "b_rep").distinct()
+    found = connected_components(pairs.where("sure").select("a_rep", "b_rep").union(met), "a_rep", "b_rep").withColumnRenamed("node", "rep")
+    return member.join(found, "rep", "left").withColumn("cluster", F.coalesce("component", "rep")).select(*points.columns, "cluster")
 
 
 def welded(points: DataFrame, node: str, radius: float, on: list[str] | None = None) -> DataFrame:
