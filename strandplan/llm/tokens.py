@@ -16,9 +16,12 @@ import regex
 
 from .common import word_bounds, word_hashes
 
-MAX_ENTRIES = 2_000_000
+MAX_ENTRIES = 500_000
 """Distinct chunks a worker keeps at most; beyond that the table is started anew, which costs time but no result."""
 
+LINES_AT_ONCE = 8
+"""Lines of 2000 pieces handed to the library at a time; its encodings take some hundred bytes a token."""
+
 _WIDE_SPACE = re.compile("[" + "".join(map(chr, (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))) + "]")
 _SPECIAL = re.compile(r"<\|(?:startoftext|endoftext)\|>")
 
@@ -57,11 +60,11 @@ class ChunkEncoder:
         pieces = [self.pieces.findall(c) for c in chunks]
         per_chunk = np.fromiter(map(len, pieces), np.int64, len(pieces))
         flat = [p for ps in pieces for p in ps]
-        ids: list[int] = []
+        found = [np.zeros(0, np.uint32)]
         lines = [" ".join(flat[i : i + 2000]).encode().decode("latin-1").translate(self.letters | {32: " "}) for i in range(0, len(flat), 2000)]
-        for e in self.parts.encode_batch_fast(lines, add_special_tokens=False):
-            ids.extend(e.ids)
-        ids = np.array(ids, np.uint32)
+        for i in range(0, len(lines), LINES_AT_ONCE):
+            found += [np.array(e.ids, np.uint32) for e in self.parts.encode_batch_fast(lines[i : i + LINES_AT_ONCE], add_special_tokens=False)]
+        ids = np.concatenate(found)
         ends = np.flatnonzero(self.last[ids]) + 1
         if len(ends) != len(flat):
             raise ValueError("the vocabulary does not mark the end of each piece")
