@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..graphs import checkpointed as checkpoint  # noqa: F401
 from ..session import ensure_importable
 
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 19
 """Text handled by one round of array work; one longer document makes a round of its own."""
 
 PACKED = "bucket int, payload binary"

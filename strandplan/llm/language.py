@@ -7,7 +7,6 @@ nearest centroid by cosine; ``rejected`` says that it is further from it than th
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +25,6 @@ CLUSTERS = 4
 ROUNDS = 12
 REJECT_QUANTILE = 0.01
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
 ROUND_BYTES = 1 << 20
 
 
@@ -143,7 +141,7 @@ def identify(docs: DataFrame) -> DataFrame:
             texts = batch.column(2).to_pylist()
             lang, score, far = [], [], []
             for lo, hi in _rounds(texts):
-                known = np.array([bool(len(names)) and _LETTER.search(t) is not None for t in texts[lo:hi]], bool)
+                known = np.array([bool(len(names)) and any(map(str.isalpha, t)) for t in texts[lo:hi]], bool)
                 cosine = np.clip(vectors(texts[lo:hi], idf) @ matrix, 0, 1) if len(names) else np.zeros((hi - lo, 1))
                 best = cosine.argmax(axis=1)
                 top = cosine[np.arange(hi - lo), best].astype(float)

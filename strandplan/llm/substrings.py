@@ -27,7 +27,7 @@ from .common import PACKED, bucket_of, by_bucket, gram_hashes, ids_of, mix, pack
 
 WINDOW = 20
 KMER = 10
-FLUSH_ENTRIES = 1_000_000
+FLUSH_ENTRIES = 500_000
 ENTRY, PASSED = 0, 1
 
 
