@@ -22,7 +22,7 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated and nearly repeated lines go from the texts; every document stays, with an empty text if no line does."""
     ensure_importable(spark)
-    return lines.dedup_lines(docs)
+    return lines.dedup_lines(docs, similar=True)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

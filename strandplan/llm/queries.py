@@ -31,7 +31,7 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), counted=True)
+    out = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), counted=True, similar=True)
     return out.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 

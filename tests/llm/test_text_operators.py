@@ -93,6 +93,47 @@ def test_lines(spark):
             assert r.text == "\n".join(x for k, x in enumerate(TEXTS[r.doc_id].split("\n")) if (r.doc_id, k) not in want)
 
 
+def word_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_lines_within_a_fifth_of_their_words(spark):
+    rng = np.random.default_rng(3)
+    fresh = (f"w{i}" for i in range(10**6))
+    kept = []
+    for n in (*range(5, 27), 30, 40, 71):
+        base = [next(fresh) for _ in range(n)]
+        kept.append(base)
+        for edits in (1, n // 5, n // 5 + 1):
+            for _ in range(3):
+                w = list(base)
+                for at in sorted(rng.choice(n, edits, replace=False).tolist(), reverse=True):
+                    kind = rng.integers(3)
+                    w[at : at + (kind != 1)] = [next(fresh)] if kind < 2 else []
+                kept.append(w)
+    order = rng.permutation(len(kept)).tolist()
+    rows = [(i, "\n".join(" ".join(kept[k]) for k in order[i::40])) for i in range(40)]
+    every = [(i, k, line.split(" ")) for i, text in rows for k, line in enumerate(text.split("\n"))]
+    want = set()
+    for p, (i, k, w) in enumerate(every):
+        for _, _, o in every[:p]:
+            longer = max(len(w), len(o))
+            if min(len(w), len(o)) >= 5 and abs(len(w) - len(o)) <= longer // 5 and word_distance(w, o) <= longer // 5:
+                want.add((i, k))
+                break
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {(r.doc_id, r.line) for r in lines.repeated_lines(df, similar=True).collect()}
+    assert got == want and len(want) > 50
+    for a, b in zip(kept, kept[1:]):
+        d = word_distance(a, b)
+        assert lines.within_edits(a, b, d) and not (d and lines.within_edits(a, b, d - 1))
+
+
 @pytest.mark.parametrize("limit", [simhash.LIST_LIMIT, 1])
 def test_simhash(spark, limit):
     got = simhash.near_duplicates(frame(spark), limit).collect()
