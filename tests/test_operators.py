@@ -11,6 +11,7 @@ from strandplan.functions.layers import layer
 from strandplan.graphs import connected_components
 from strandplan.operators import attributes as at
 from strandplan.operators import clusters, intervals, progress, routing, spatial, terminals, topology
+from strandplan.plans.catalogue import QUERIES
 
 
 def column(df, name):
@@ -215,4 +216,31 @@ def test_public_cover_against_samples(spark):
         assert got[i] == inner, i
 
 
-
+def test_network_layer_has_all_customers(spark, tmp_path):
+    spark.range(1, 4001).selectExpr("id as c_custkey", "cast(id % 25 as int) as c_nationkey").write.parquet(str(tmp_path / "customer.parquet"))
+    want = {k for k in range(1, 4001) if k * 7 % 23 != (k * 11 + 1 + k % 25) % 23}
+    assert {r.seq for r in layer(spark, str(tmp_path), "net").collect()} == want
+
+
+def test_purge_runs_over_all_rows(spark):
+    sf = "/root/testdata/sf0.001"
+    rows = [(r.seq, r.sro_no * 100_000 + r.pb % 40 * 1000 + r.node_a, r.sro_no * 100_000 + r.pb % 40 * 1000 + r.node_b, r.pb) for r in layer(spark, sf, "chain").collect()]
+    ends = {}
+    for _, a, b, path in rows:
+        ends[path] = (min(a, ends.get(path, (a, b))[0]), max(b, ends.get(path, (a, b))[1]))
+    while True:
+        parent = {}
+
+        def find(v):
+            while parent.setdefault(v, v) != v:
+                v = parent[v]
+            return v
+
+        for _, a, b, _ in rows:
+            parent[find(a)] = find(b)
+        left = [r for r in rows if all(v in parent for v in ends[r[3]]) and find(ends[r[3]][0]) == find(ends[r[3]][1])]
+        if len(left) == len(rows):
+            break
+        rows = left
+    got = {r.seq for r in QUERIES["t20_purge_fixpoint"](spark, sf).collect()}
+    assert got == {r[0] for r in rows} and any(k % 2 for k in got)
