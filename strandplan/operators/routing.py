@@ -87,14 +87,19 @@ def dijkstra(edges: DataFrame, sources: DataFrame, group: str, weight: str) -> D
     return e.groupBy("grp").cogroup(s.groupBy("grp")).applyInPandas(run, schema).withColumnRenamed("grp", group)
 
 
-def relaxed(edges: DataFrame, sources: DataFrame, group: str, weight: str, max_rounds: int = 200) -> DataFrame:
-    """group, source, node, cost: the same least costs by joins, for graphs that no single task could hold."""
+def relaxed(edges: DataFrame, sources: DataFrame, group: str, weight: str) -> DataFrame:
+    """group, source, node, cost: the same least costs by joins, for graphs that no single task could hold.
+
+    As many rounds as the longest cheapest path has edges, and one; weights may not be negative, as they would never end.
+    """
+    if not edges.where(F.col(weight) < 0).isEmpty():
+        raise ValueError(f"negative {weight}")
     both = edges.select(F.col(group), F.col("u").alias("node"), F.col("v").alias("to"), F.col(weight).alias("w"))
     both = both.unionByName(edges.select(F.col(group), F.col("v").alias("node"), F.col("u").alias("to"), F.col(weight).alias("w")))
     zero = F.lit(0).cast(edges.schema[weight].dataType)
     now = checkpointed(sources.select(group, "source", F.col("source").alias("node"), zero.alias("cost")).distinct())
     front = now
-    for _ in range(max_rounds):
+    while True:
         step = front.join(both, [group, "node"]).groupBy(group, "source", F.col("to").alias("node")).agg(F.min(F.col("cost") + F.col("w")).alias("new"))
         front = checkpointed(step.join(now, [group, "source", "node"], "left").where("cost is null or new < cost").select(group, "source", "node", F.col("new").alias("cost")))
         if front.isEmpty():

@@ -216,6 +216,15 @@ def test_public_cover_against_samples(spark):
         assert got[i] == inner, i
 
 
+def test_costs_by_joins_on_a_path_of_over_200_edges(spark, monkeypatch):
+    monkeypatch.setattr(routing, "checkpointed", lambda df: spark.createDataFrame(df.collect(), df.schema))  # 2 jobs a round, without files
+    e = spark.createDataFrame([(1, k, k + 1, 2) for k in range(203)], "g int, u long, v long, w long")
+    s = spark.createDataFrame([(1, 0)], "g int, source long")
+    assert {r.node: r.cost for r in routing.relaxed(e, s, "g", "w").collect()} == {k: 2 * k for k in range(204)}
+    with pytest.raises(ValueError):
+        routing.relaxed(e.withColumn("w", -F.col("w")), s, "g", "w")
+
+
 def test_network_layer_has_all_customers(spark, tmp_path):
     spark.range(1, 4001).selectExpr("id as c_custkey", "cast(id % 25 as int) as c_nationkey").write.parquet(str(tmp_path / "customer.parquet"))
     want = {k for k in range(1, 4001) if k * 7 % 23 != (k * 11 + 1 + k % 25) % 23}
