@@ -20,7 +20,7 @@ def vocabulary_path() -> str:
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secret_scan.find_secrets(table(spark, sf_dir, "documents")).select("doc_id", "secrets")
+    found = secret_scan.find_secrets(table(spark, sf_dir, "documents"), classes=True).select("doc_id", "secrets")
     base = F.filter("secrets", lambda s: s["kind"] != "entropy")
     of = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return found.select("doc_id", of("assign"), of("access"), of("hex"), F.sha2(secret_scan.digest(base), 256).alias("base_sha256"), secret_scan.digest(F.col("secrets")).alias("spans"))

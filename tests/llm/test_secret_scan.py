@@ -1,5 +1,7 @@
 import math
+import random
 import re
+import string
 
 from pyspark.sql import functions as F
 
@@ -70,3 +72,14 @@ def test_real_documents(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert secrets.find_secrets(df).select("doc_id", secrets.digest(F.col("secrets"))).collect() == []
+
+
+def test_random_tokens_of_each_class(spark):
+    rng, lower, upper = random.Random(5), string.ascii_lowercase, string.ascii_uppercase
+    alphabets = [lower + string.digits, upper + string.digits, upper + "234567", lower, upper, lower + upper, lower + upper + string.digits, lower + upper + string.digits + "+/"]
+    rows = [(k, "the key is " + "".join(rng.choices(a, k=n)) + " here") for k, a in enumerate(alphabets) for n in (20, 32) for _ in range(100)]
+    found = secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string"), classes=True).where("exists(secrets, s -> s.kind = 'entropy')")
+    counts = {r.doc_id: r["count"] for r in found.groupBy("doc_id").count().collect()}
+    assert all(counts.get(k, 0) >= 0.93 * 200 for k in range(len(alphabets))), counts
+    prose = [(0, "internationalization src/strandplan/operators/spatial zzzzzzzzzzzzzzzzzzzzzzzz")]
+    assert not secrets.find_secrets(spark.createDataFrame(prose, "doc_id long, text string"), classes=True).first().secrets
