@@ -11,6 +11,8 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,6 +43,32 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """The name, with underscores before it until no column of df has it (case aside, as Spark compares names)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def with_row(docs: DataFrame, row: str) -> DataFrame:
+    """docs with a column that tells apart the texts of one doc_id and orders as doc_id does; null without doc_id.
+
+    It is the doc_id itself where no doc_id has two texts.  Otherwise the distinct (doc_id, XXH64 of the text) are put in order
+    over ranges and numbered; of one doc_id's texts that of the lesser hash comes first.  Repeated rows share a number.
+    """
+    text_hash = F.xxhash64(text_or_empty())
+    keys = docs.where("doc_id is not null").select("doc_id", text_hash.alias("h"))
+    if not keys.groupBy("doc_id").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo <> hi").limit(1).count():
+        return docs.withColumn(row, F.col("doc_id").cast("long"))
+    ranged = keys.distinct().repartitionByRange(shuffle_partitions(docs.sparkSession), "doc_id", "h").sortWithinPartitions("doc_id", "h")
+    numbered = checkpoint(ranged.withColumn(row, F.monotonically_increasing_id()))
+    h = unused(docs, "h")
+    doc, hashed = unused(left := docs.withColumn(h, text_hash), "_doc"), unused(left, "_h")
+    numbered = numbered.select(F.col("doc_id").alias(doc), F.col("h").alias(hashed), row)
+    return left.join(numbered, (F.col("doc_id") == F.col(doc)) & (F.col(h) == F.col(hashed)), "left").select(*docs.columns, row)
+
+
 # ---------------------------------------------------------------- Arrow batches
 
 
@@ -79,10 +107,6 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective finaliser of 64 bits (public splitmix constants)."""
     x = x ^ (x >> np.uint64(30))
@@ -92,25 +116,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _table(seed: int) -> np.ndarray:
-    return mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03) + np.uint64(seed))
-
-
-_TABLES = {s: _table(s * 7919 + 17) for s in (0, 1)}
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64 for i < n."""
-    if len(_powers[0]) < n:
-        size = 1 << (n - 1).bit_length()
-        inverse = pow(int(_BASE), -1, 1 << 64)
-        for k, b in enumerate((_BASE, np.uint64(inverse))):
-            steps = np.full(size, b, np.uint64)
-            steps[0] = 1
-            _powers[k] = np.cumprod(steps)
-    return _powers[0][:n], _powers[1][:n]
-
-
 def lower_ascii(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
 
@@ -134,30 +139,66 @@ def word_bounds(data: np.ndarray, offs: np.ndarray, space: np.ndarray = _SPACE)
     return starts, ends, np.searchsorted(starts, offs)
 
 
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+_KEEP = np.array([0, *((1 << 8 * k) - 1 for k in range(1, 8)), (1 << 64) - 1], np.uint64)
+"""Masks of the low 0 to 8 bytes of a lane."""
+LONG_WORD = 256
+"""Bytes above which a word is hashed and compared by itself instead of in lanes."""
+
+
+def _lanes(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on, little-endian, zeros after the end."""
+    return np.ndarray((len(data) + 1,), "<u8", np.concatenate([data, np.zeros(8, np.uint8)]), strides=(1,))
+
+
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
-    p, q = powers(len(data) + 1)
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_TABLES[seed][data] * p[:-1], out=total[1:])
-    return mix((total[ends] - total[starts]) * q[starts] + (ends - starts).astype(np.uint64))
+    """64-bit hashes of pieces of bytes: eight bytes a round go through a bijective mixer, so pieces of one length up to eight
+    bytes never collide; pieces of over ``LONG_WORD`` bytes by XXH64."""
+    size = ends - starts
+    lanes = _lanes(data)
+    h = mix(mix(size.astype(np.uint64) + np.uint64(seed * 0x51ED2701 + 1)) + (lanes[starts] & _KEEP[np.minimum(size, 8)]))
+    rest, at = np.flatnonzero((size > 8) & (size <= LONG_WORD)), 8
+    while len(rest):
+        h[rest] = mix(h[rest] * _ODD + (lanes[starts[rest] + at] & _KEEP[np.minimum(size[rest] - at, 8)]))
+        at += 8
+        rest = rest[size[rest] > at]
+    for i in np.flatnonzero(size > LONG_WORD).tolist():
+        h[i] = xxhash.xxh64_intdigest(data[starts[i] : ends[i]].tobytes(), seed)
+    return h
+
+
+def same_bytes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, other: np.ndarray, o_starts: np.ndarray, o_ends: np.ndarray) -> np.ndarray:
+    """Whether the pieces of data are those of other, byte by byte."""
+    size = ends - starts
+    same = size == o_ends - o_starts
+    one = _lanes(data)
+    two = one if other is data else _lanes(other)
+    rest, at = np.flatnonzero(same & (size <= LONG_WORD)), 0
+    while len(rest):
+        keep = _KEEP[np.minimum(size[rest] - at, 8)]
+        same[rest] = (one[starts[rest] + at] & keep) == (two[o_starts[rest] + at] & keep)
+        at += 8
+        rest = rest[(size[rest] > at) & same[rest]]
+    for i in np.flatnonzero(same & (size > LONG_WORD)).tolist():
+        same[i] = np.array_equal(data[starts[i] : ends[i]], other[o_starts[i] : o_ends[i]])
+    return same
 
 
 def gram_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
-    """Of each k consecutive words, whatever row they are in."""
+    """Of each k consecutive words, whatever row they are in: a tree of mixed pairs."""
     m = len(hashes) - k + 1
     if m <= 0:
         return np.zeros(0, np.uint64)
-    p, q = powers(len(hashes) + 1)
-    total = np.zeros(len(hashes) + 1, np.uint64)
-    np.cumsum(hashes * p[:-1], out=total[1:])
-    return mix((total[k:] - total[:-k]) * q[:m])
-
-
-def span_hashes(hashes: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-    """Of the words lo..hi-1; hashes of spans of equal words are equal wherever they stand."""
-    p, q = powers(len(hashes) + 1)
-    total = np.zeros(len(hashes) + 1, np.uint64)
-    np.cumsum(hashes * p[:-1], out=total[1:])
-    return mix((total[hi] - total[lo]) * q[lo] + (hi - lo).astype(np.uint64))
+    level, span, out, done = hashes, 1, None, 0
+    while True:
+        if k & span:
+            part = level[done : done + m]
+            out = mix(part + np.uint64(k)) if out is None else mix(out * _ODD + part)
+            done += span
+        if 2 * span > k:
+            return out
+        level = mix(level[:-span] * _ODD + level[span:])
+        span *= 2
 
 
 # ---------------------------------------------------------------- packed shuffle
@@ -188,6 +229,29 @@ def packed_batch(rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["bucket", "payload"])
 
 
+def planes(buckets: np.ndarray, *columns: np.ndarray) -> list[tuple[int, bytes]]:
+    """pack() with each column's bytes laid out by significance, compressed, as shuffles and checkpoints hold many of these."""
+    order = np.argsort(buckets, kind="stable")
+    cuts = np.flatnonzero(np.r_[True, np.diff(buckets[order]) != 0, True]) if len(order) else np.zeros(1, int)
+    squeeze = zstandard.ZstdCompressor(level=1).compress
+    rows = []
+    for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        planes = b"".join(np.ascontiguousarray(c[order[lo:hi]]).view(np.uint8).reshape(hi - lo, -1).T.tobytes() for c in columns)
+        rows.append((int(buckets[order[lo]]), np.int64(hi - lo).tobytes() + squeeze(planes)))
+    return rows
+
+
+def from_planes(payloads: list, dtypes: list) -> list[np.ndarray]:
+    out, expand = [[] for _ in dtypes], zstandard.ZstdDecompressor().decompress
+    for p in payloads:
+        n, raw, at = int(np.frombuffer(p, np.int64, 1)[0]), expand(memoryview(p)[8:]), 0
+        for k, t in enumerate(dtypes):
+            size = np.dtype(t).itemsize
+            out[k].append(np.ascontiguousarray(np.frombuffer(raw, np.uint8, n * size, at).reshape(size, n).T).view(t).ravel())
+            at += n * size
+    return [np.concatenate(c) for c in out]
+
+
 def by_bucket(df: DataFrame, reduce: Callable[[list[bytes]], Iterator[pa.RecordBatch]], schema: str, partitions: int) -> DataFrame:
     """Each bucket's payloads meet in one call of reduce; the memory it takes is that of one bucket."""
 

@@ -102,22 +102,41 @@ def cluster(v: np.ndarray, k: int = CLUSTERS, rounds: int = ROUNDS) -> np.ndarra
     return c
 
 
-def centroids(learn: DataFrame, idf: np.ndarray, fit_docs: int = FIT_DOCS) -> list[tuple[str, np.ndarray, float]]:
-    """(language, centroid, least cosine of its documents but for a few), in the order of languages."""
+def _sample(learn: DataFrame, fit_docs: int) -> DataFrame:
+    """doc_id, lang, text of at most fit_docs documents of a language, those of smallest hash; of several texts of one the least.
+
+    A hash below a bound that the language's count gives leaves little more than that before they are put in order.
+    """
+    ids = learn.select("doc_id", "lang").distinct()
+    share = ids.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(fit_docs + 8 * fit_docs**0.5 + 64) / F.count("*")).alias("share"))
     nearest = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = learn.select("doc_id", "lang").withColumn("_rank", F.row_number().over(nearest)).where(F.col("_rank") <= fit_docs).select("doc_id", "lang").distinct()
-    sample = learn.select("doc_id", "lang", text_or_empty().alias("text")).join(F.broadcast(chosen), ["doc_id", "lang"])
+    few = ids.join(share, "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < (F.col("share") * (1 << 20)).cast("long") + 1)
+    chosen = few.withColumn("place", F.row_number().over(nearest)).where(F.col("place") <= fit_docs).select("doc_id", "lang")
+    return learn.select("doc_id", "lang", "text").join(chosen, ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
+
+
+def centroids(learn: DataFrame, idf: np.ndarray, fit_docs: int = FIT_DOCS) -> list[tuple[str, np.ndarray, float]]:
+    """(language, centroid, least cosine of its documents but for a few), in the order of languages.
+
+    Texts become vectors of fixed size where they lie; those of a language's sample meet in one task.
+    """
+
+    def shape(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(2).to_pylist()
+            rows = [x.tobytes() for lo, hi in _rounds(texts) for x in vectors(texts[lo:hi], idf)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rows, pa.binary())], ["doc_id", "lang", "vector"])
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        texts = pdf.sort_values("doc_id")["text"].tolist()[: 2 * fit_docs]
-        v = np.concatenate([vectors(texts[lo:hi], idf) for lo, hi in _rounds(texts)])
+        v = np.stack([np.frombuffer(x, np.float32) for x in pdf.sort_values("doc_id")["vector"]])
         c = cluster(v)
         cosine = v @ c.T
         own = cosine.argmax(axis=1)
         least = [float(np.quantile(cosine[own == j, j], REJECT_QUANTILE)) if (own == j).any() else 1.0 for j in range(len(c))]
         return pd.DataFrame({"lang": pdf["lang"].iloc[0], "cluster": np.arange(len(c)), "centroid": [x.astype(float).tolist() for x in c], "least": least})
 
-    rows = sample.groupBy("lang").applyInPandas(fit, "lang string, cluster int, centroid array<double>, least double").collect()
+    shaped = _sample(learn, fit_docs).select("doc_id", "lang", "text").mapInArrow(shape, "doc_id long, lang string, vector binary")
+    rows = shaped.groupBy("lang").applyInPandas(fit, "lang string, cluster int, centroid array<double>, least double").collect()
     return [(r["lang"], np.array(r["centroid"], np.float32), r["least"]) for r in sorted(rows, key=lambda r: (r["lang"], r["cluster"]))]
 
 

@@ -11,7 +11,7 @@ is dealt by many tasks.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,11 +27,14 @@ ROUND_CHARS = 1 << 20
 PLAN_COLUMNS = "length long, rank_from long, rank_to long, copies long, first_sequence long, place long"
 
 
-def pieces_of(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32 of every document; a null text counts as empty, which makes one piece of one id."""
+def pieces_of(docs: DataFrame, vocabulary: str | Callable[[], str], capacity: int = CAPACITY) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32 of every document; a null text counts as empty, which makes one piece of one id.
+
+    vocabulary: the file's path, or what gives it on the worker that reads it.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(vocabulary)
+        enc = encoder(vocabulary() if callable(vocabulary) else vocabulary)
 
         def flush(ids: list, texts: list[str]) -> pa.RecordBatch:
             tokens, rows = enc.encode(texts)
@@ -94,7 +97,7 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, in
             n = min(gap // k, int(left[k]) - taken.get(k, 0))
             taken[k] = taken.get(k, 0) + n
             gap -= n * k
-        if gap and sum(taken.values()) > 1:
+        if gap:
             small = min(taken)
             room = gap + small
             avail = left[: room + 1].copy()
@@ -143,7 +146,7 @@ def best_two_fit(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """
     spark = pieces.sparkSession
     salts = 4 * shuffle_partitions(spark)
-    salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)).cast("int"))
+    salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", *({"start", "ids_crc32"} & set(pieces.columns))), F.lit(salts)).cast("int"))
     counts = salted.groupBy("length", "salt").agg(F.count("*").alias("n"))
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     if any(not 1 <= k <= capacity for k in histogram):
@@ -161,6 +164,6 @@ def best_two_fit(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     )
 
 
-def pack_documents(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFrame:
+def pack_documents(docs: DataFrame, vocabulary: str | Callable[[], str], capacity: int = CAPACITY) -> DataFrame:
     """Pieces of all documents with their places: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     return best_two_fit(checkpoint(pieces_of(docs, vocabulary, capacity)), capacity)

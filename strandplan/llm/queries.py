@@ -27,11 +27,11 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary_path())
+    return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary_path)
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), counted=True, similar=True)
+    out = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), counted=True)
     return out.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 

@@ -1,17 +1,22 @@
-"""Repeated passages: 20-word windows that also start earlier, found over a sparse de Bruijn graph of word k-mers.
-
-A window of 20 words is an edge of the graph (between its first and its last 19 words).  Edges that occur once cannot
-matter, and most do; they are kept out by their minimiser, the 10-word k-mer of smallest hash in the window: equal
-windows have equal minimisers at equal places, so a window can only be repeated if its minimiser is.  Consecutive windows
-with one minimiser are a nonbranching path and travel as one entry.
-
-1. Each document's minimisers are counted; a repeated one sends back its source coordinates.
-2. A join on doc_id brings those to the texts, whose windows around repeated minimisers are the edges to resolve.
-3. The first source coordinate of each edge is found; all other occurrences are removed, runs of them as one span.
-
-Counts and first coordinates are combined within a task before anything moves (an entry that has lost within its task
+"""Repeated passages: 20-word windows that also start earlier, by compacting a de Bruijn graph of word k-mers.
+
+A window of 20 words is an edge of the graph, from the node of its first 19 words to that of its last 19.
+
+1. Edges that occur once cannot matter, and most do.  They are kept out by their minimiser, the 10-word k-mer of smallest hash in
+   the window: equal windows have equal minimisers, so a window is repeated only if its minimiser is.  Each document's
+   minimisers are counted; a repeated one sends back its source coordinates, and a join brings those to the texts.
+2. All occurrences of an edge meet (dealt by the edge, so a k-mer that is common in many surroundings loads no one task).  They
+   give its first source coordinate, how often it occurs, and whether one edge alone follows or precedes it everywhere: a
+   node is nonbranching if one edge enters it, one leaves it, and no document starts or ends there.
+3. Two edges at a nonbranching node have the same occurrences, one word apart, so their first coordinates are one word apart in
+   one document.  Hence a nonbranching path lies in one piece in its source document: a shuffle by source document brings
+   its edges together, and a merge of each edge's end with the start of the next compacts it, whatever its length.
+4. An occurrence of a path's first edge stands for the whole path.  Those that are not the first are verified against the source
+   coordinates of the path (edge by edge: the same 128 bits in both places) and become spans; a join by document removes them.
+
+Counts, first coordinates and neighbours are combined within a task before anything moves (an entry that has lost within its task
 goes on as a lost one), so a passage that a third of all documents hold reaches a reducer once for each task.  Edges are
-compared by 96 bits of two independent hashes of their words.
+compared by 128 bits of two independent hashes of their words.
 """
 
 from __future__ import annotations
@@ -23,12 +28,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import PACKED, bucket_of, by_bucket, gram_hashes, ids_of, mix, pack, packed_batch, shuffle_partitions, text_chunks, text_or_empty, unpack, word_bounds, word_hashes
+from .common import PACKED, bucket_of, by_bucket, from_planes, gram_hashes, ids_of, mix, pack, packed_batch, planes, shuffle_partitions, text_chunks, text_or_empty, unpack, with_row, word_bounds, word_hashes
 
 WINDOW = 20
 KMER = 10
 FLUSH_ENTRIES = 500_000
 ENTRY, PASSED = 0, 1
+NONE = 0
+"""In place of a neighbour's hash: there is none, or not one alone."""
 
 
 def minimisers(hashes: np.ndarray, first: np.ndarray, window: int, kmer: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -68,7 +75,7 @@ def _first_of(keys: list[np.ndarray], *order: np.ndarray) -> tuple[np.ndarray, n
 
 
 def _anchors(docs: DataFrame, buckets: int, window: int, kmer: int) -> DataFrame:
-    """Packed: hash, doc_id, place, and whether it is known to be repeated."""
+    """Packed: hash, row, place, and whether it is known to be repeated."""
 
     def flush(held: list[tuple]) -> pa.RecordBatch:
         keys, ids, places = (np.concatenate([h[i] for h in held]) for i in range(3))
@@ -83,7 +90,7 @@ def _anchors(docs: DataFrame, buckets: int, window: int, kmer: int) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
         for batch in batches:
-            ids, ok = ids_of(batch)
+            ids, ok = ids_of(batch, "row")
             for lo, hi, data, offs in text_chunks(batch):
                 starts, ends, first = word_bounds(data, offs)
                 _, at, keys = minimisers(word_hashes(data, starts, ends), first, window, kmer)
@@ -106,7 +113,7 @@ def _anchors(docs: DataFrame, buckets: int, window: int, kmer: int) -> DataFrame
 
 
 def _repeated(anchors: DataFrame, partitions: int) -> DataFrame:
-    """doc_id, place of every repeated minimiser."""
+    """row, place of every repeated minimiser."""
 
     def reduce(payloads: list) -> Iterator[pa.RecordBatch]:
         entries, passed = [], []
@@ -123,47 +130,61 @@ def _repeated(anchors: DataFrame, partitions: int) -> DataFrame:
             keep = by[hot[group]]
             passed.append([ids[keep], places[keep]])
         for ids, places in passed:
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(places)], ["doc_id", "place"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(places)], ["row", "place"])
+
+    return by_bucket(anchors, reduce, "row long, place int", partitions)
 
-    return by_bucket(anchors, reduce, "doc_id long, place int", partitions)
+
+def _sole(values: np.ndarray, group: np.ndarray, n: int) -> np.ndarray:
+    """The value that all of a group have, or NONE."""
+    low = np.full(n, np.uint32(2**32 - 1))
+    high = np.zeros(n, np.uint32)
+    np.minimum.at(low, group, values)
+    np.maximum.at(high, group, values)
+    return np.where(low == high, low, np.uint32(NONE))
 
 
 def _edges(marked: DataFrame, buckets: int, window: int, kmer: int) -> DataFrame:
-    """Packed: both hashes, doc_id and place of each window around a repeated minimiser; lost within the task: doc_id and place."""
+    """Packed: both hashes, row, place, sole neighbours and number of each distinct window of a task around a repeated minimiser; lost within the task: row and place."""
 
     def flush(held: list[tuple]) -> pa.RecordBatch:
-        anchor, one, two, ids, places = (np.concatenate([h[i] for h in held]) for i in range(5))
+        one, two, ids, places, before, after = (np.concatenate([h[i] for h in held]) for i in range(6))
         by, new = _first_of([one, two], ids, places)
-        head = by[np.flatnonzero(new)][np.cumsum(new) - 1] if len(by) else by
-        lost = (ids[by] != ids[head]) | (places[by] != places[head])
-        kept, rest = by[new], by[lost]
-        rows = list(pack(bucket_of(anchor[kept], buckets), one[kept], two[kept], ids[kept], places[kept]))
+        group = np.cumsum(new) - 1
+        n = int(new.sum())
+        kept = by[new]
+        before, after, times = _sole(before[by], group, n), _sole(after[by], group, n), np.bincount(group, minlength=n)
+        head = kept[group]
+        rest = by[(ids[by] != ids[head]) | (places[by] != places[head])]
+        rows = [(b, np.int64(ENTRY).tobytes() + p) for b, p in planes(bucket_of(one[kept], buckets), one[kept], two[kept], ids[kept], places[kept], before, after, times.astype(np.int32))]
         rest = rest[np.lexsort((places[rest], ids[rest]))]
-        rows += pack(bucket_of(mix(ids[rest].view(np.uint64)), buckets), ids[rest], places[rest], kind=PASSED)
+        rows += [(b, np.int64(PASSED).tobytes() + p) for b, p in planes(bucket_of(mix(ids[rest].view(np.uint64)), buckets), ids[rest], places[rest])]
         return packed_batch(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
         for batch in batches:
-            ids, _ = ids_of(batch)
+            ids, _ = ids_of(batch, "row")
             lists = batch.column(2)
             ends_of = np.asarray(lists.offsets)
             places_of = np.asarray(lists.values).astype(np.int64)
             for lo, hi, data, offs in text_chunks(batch):
                 starts, ends, first = word_bounds(data, offs)
                 hashes = word_hashes(data, starts, ends)
-                begin, at, keys = minimisers(hashes, first, window, kmer)
+                begin, at, _ = minimisers(hashes, first, window, kmer)
                 marked_at = np.zeros(len(hashes) + 1, bool)
                 size = np.diff(ends_of[lo : hi + 1])
                 marked_at[np.minimum(np.repeat(first[:-1], size) + places_of[ends_of[lo] : ends_of[hi]], len(hashes))] = True
-                use = marked_at[at]
-                begin, keys = begin[use], keys[use]
+                begin = begin[marked_at[at]]
                 if not len(begin):
                     continue
                 row = np.searchsorted(first, begin, "right") - 1
-                one = gram_hashes(hashes, window)[begin]
-                two = (gram_hashes(word_hashes(data, starts, ends, 1), window)[begin] >> np.uint64(32)).astype(np.uint32)
-                held.append((keys, one, two, ids[lo:hi][row], (begin - first[row]).astype(np.int32)))
+                every = gram_hashes(hashes, window)
+                short = np.maximum((every >> np.uint64(32)).astype(np.uint32), np.uint32(1))
+                two = gram_hashes(word_hashes(data, starts, ends, 1), window)[begin]
+                before = np.where(begin > first[row], short[begin - 1], np.uint32(NONE))
+                after = np.where(begin + window < first[row + 1], short[np.minimum(begin + 1, len(short) - 1)], np.uint32(NONE))
+                held.append((every[begin], two, ids[lo:hi][row], (begin - first[row]).astype(np.int32), before, after))
                 n += len(begin)
                 if n >= FLUSH_ENTRIES:
                     yield flush(held)
@@ -171,67 +192,118 @@ def _edges(marked: DataFrame, buckets: int, window: int, kmer: int) -> DataFrame
         if held:
             yield flush(held)
 
-    return marked.select("doc_id", "text", "places").mapInArrow(run, PACKED)
+    return marked.select("row", "text", "places").mapInArrow(run, PACKED)
 
 
-def _runs(ids: np.ndarray, places: np.ndarray) -> pa.RecordBatch:
-    """Consecutive windows of a document as one span: doc_id, first, n."""
+def _firsts(edges: DataFrame, buckets: int, partitions: int) -> DataFrame:
+    """Packed, dealt by source: row and place of each repeated edge's first occurrence, its number and whether it has sole neighbours, with row and place of another occurrence (its own: none); known lost: row and place."""
+
+    def reduce(payloads: list) -> Iterator[pa.RecordBatch]:
+        entries = []
+        for p in payloads:
+            body = memoryview(p)[8:]
+            if np.frombuffer(p, np.int64, 1)[0] == PASSED:
+                ids, places = from_planes([body], [np.int64, np.int32])
+                yield packed_batch([(b, np.int64(PASSED).tobytes() + q) for b, q in planes(bucket_of(mix(ids.view(np.uint64)), buckets), ids, places)])
+            else:
+                entries.append(body)
+        if not entries:
+            return
+        one, two, ids, places, before, after, times = from_planes(entries, [np.uint64, np.uint64, np.int64, np.int32, np.uint32, np.uint32, np.int32])
+        by, new = _first_of([one, two], ids, places)
+        group = np.cumsum(new) - 1
+        n = int(new.sum())
+        before, after = _sole(before[by], group, n) != NONE, _sole(after[by], group, n) != NONE
+        total = np.bincount(group, weights=times[by], minlength=n).astype(np.int32)
+        head, use = by[new][group], (total > 1)[group]
+        by, head, group = by[use], head[use], group[use]
+        order = np.lexsort((places[by], ids[by], places[head], ids[head]))
+        by, head, group = by[order], head[order], group[order]
+        sole = (before[group] + 2 * after[group]).astype(np.uint8)
+        b = bucket_of(mix(ids[head].view(np.uint64)), buckets)
+        yield packed_batch([(k, np.int64(ENTRY).tobytes() + q) for k, q in planes(b, ids[head], places[head], total[group], sole, ids[by], places[by])])
+
+    return by_bucket(edges, reduce, PACKED, partitions)
+
+
+def _runs(ids: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Consecutive windows of a document as one span: row, first, n."""
     by = np.lexsort((places, ids))
     ids, places = ids[by], places[by]
     new = np.r_[True, (ids[1:] != ids[:-1]) | (places[1:] > places[:-1] + 1)] if len(ids) else np.zeros(0, bool)
     cuts = np.r_[np.flatnonzero(new), len(ids)]
     last = places[cuts[1:] - 1] if len(ids) else places
-    return pa.RecordBatch.from_arrays([pa.array(ids[cuts[:-1]]), pa.array(places[cuts[:-1]]), pa.array((last - places[cuts[:-1]] + 1).astype(np.int32))], ["doc_id", "first", "n"])
+    return ids[cuts[:-1]], places[cuts[:-1]], (last - places[cuts[:-1]] + 1).astype(np.int32)
+
 
+def compacted(ids: np.ndarray, places: np.ndarray, times: np.ndarray, sole: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of edges in order of their first coordinates: which begin a nonbranching path, and the path's length there.
+
+    Consecutive edges are linked if the former has one successor and the latter one predecessor everywhere, and both occur equally often.
+    """
+    linked = np.r_[False, (ids[1:] == ids[:-1]) & (places[1:] == places[:-1] + 1) & ((sole[:-1] & 2) > 0) & ((sole[1:] & 1) > 0) & (times[1:] == times[:-1])] if len(ids) else np.zeros(0, bool)
+    heads = np.flatnonzero(~linked)
+    length = np.zeros(len(ids), np.int32)
+    length[heads] = np.diff(np.r_[heads, len(ids)])
+    return ~linked, length
 
-def _lost(edges: DataFrame, partitions: int) -> DataFrame:
-    """doc_id, first, n: spans of windows that start earlier elsewhere."""
+
+def _lost(firsts: DataFrame, partitions: int) -> DataFrame:
+    """row, first, n: spans of windows that start earlier elsewhere; with source_row, source_first for those that a path gives."""
+    names = ["row", "first", "n", "source_row", "source_first"]
 
     def reduce(payloads: list) -> Iterator[pa.RecordBatch]:
-        entries, gone = [], []
+        entries, passed = [], []
         for p in payloads:
-            if np.frombuffer(p, np.int64, 1)[0] == PASSED:
-                gone.append(unpack(p, [np.int64, np.int32])[1])
-            else:
-                entries.append(unpack(p, [np.uint64, np.uint32, np.int64, np.int32])[1])
+            (passed if np.frombuffer(p, np.int64, 1)[0] == PASSED else entries).append(memoryview(p)[8:])
+        if passed:
+            ids, first, n = _runs(*from_planes(passed, [np.int64, np.int32]))
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(first), pa.array(n), pa.nulls(len(ids), pa.int64()), pa.nulls(len(ids), pa.int32())], names)
         if entries:
-            one, two, ids, places = (np.concatenate([e[i] for e in entries]) for i in range(4))
-            by, new = _first_of([one, two], ids, places)
-            head = by[np.flatnonzero(new)][np.cumsum(new) - 1]
-            rest = by[(ids[by] != ids[head]) | (places[by] != places[head])]
-            gone.append([ids[rest], places[rest]])
-        if gone:
-            yield _runs(np.concatenate([g[0] for g in gone]), np.concatenate([g[1] for g in gone]))
+            ids, places, times, sole, at_id, at_place = from_planes(entries, [np.int64, np.int32, np.int32, np.uint8, np.int64, np.int32])
+            by, new = _first_of([ids, places])
+            edge = by[new]
+            head, length = compacted(ids[edge], places[edge], times[edge], sole[edge])
+            group = np.cumsum(new) - 1
+            use = head[group] & ((at_id[by] != ids[by]) | (at_place[by] != places[by]))
+            by, n = by[use], length[group[use]]
+            yield pa.RecordBatch.from_arrays([pa.array(at_id[by]), pa.array(at_place[by]), pa.array(n), pa.array(ids[by]), pa.array(places[by])], names)
 
-    return by_bucket(edges, reduce, "doc_id long, first int, n int", partitions)
+    return by_bucket(firsts, reduce, "row long, first int, n int, source_row long, source_first int", partitions)
 
 
-def _identified(docs: DataFrame) -> DataFrame:
-    """The texts that take part; the same plan for each join, so that texts are shuffled by doc_id once."""
-    return docs.where("doc_id is not null").select("doc_id", text_or_empty().alias("text"))
+def _spans(texts: DataFrame, window: int, kmer: int) -> DataFrame:
+    """_lost() of texts (row, text)."""
+    partitions = shuffle_partitions(texts.sparkSession)
+    buckets = 4 * partitions
+    repeated = _repeated(_anchors(texts, buckets, window, kmer), partitions)
+    places = repeated.groupBy("row").agg(F.collect_list("place").alias("places"))
+    return _lost(_firsts(_edges(texts.join(places, "row"), buckets, window, kmer), buckets, partitions), partitions)
 
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW, kmer: int = KMER) -> DataFrame:
-    """doc_id, first, n: the windows first..first+n-1 (word numbers of their starts) of a document also start earlier.
+    """doc_id, first, n, source_doc_id, source_first: the windows first..first+n-1 (word numbers of their starts) of a document also start earlier.
 
-    Earlier: in a document of smaller doc_id, or further left in the same.  Spans may touch.  Documents without doc_id
-    have no place in that order and take no part; rows that repeat a doc_id count as one document.
+    Earlier: in a document of smaller doc_id, or further left in the same.  Spans may touch.  The source is where a nonbranching
+    path of the graph first occurs; it is null for a span whose earlier occurrence a task met itself.  Documents without doc_id have no place
+    in that order and take no part; rows that repeat a doc_id and its text count as one document, different texts of one
+    doc_id as several, in a fixed order.
     """
-    spark = docs.sparkSession
-    partitions = shuffle_partitions(spark)
-    buckets = 4 * partitions
-    texts = _identified(docs)
-    repeated = _repeated(_anchors(texts, buckets, window, kmer), partitions)
-    places = repeated.groupBy("doc_id").agg(F.collect_list("place").alias("places"))
-    return _lost(_edges(texts.join(places, "doc_id"), buckets, window, kmer), partitions)
+    texts = with_row(docs.select("doc_id", "text"), "row").where("row is not null").select("row", "doc_id", text_or_empty().alias("text"))
+    named = texts.select("row", "doc_id").distinct()
+    source = named.select(F.col("row").alias("source_row"), F.col("doc_id").alias("source_doc_id"))
+    return _spans(texts.select("row", "text"), window, kmer).join(named, "row").join(source, "source_row", "left").select("doc_id", "first", "n", "source_doc_id", "source_first")
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, kmer: int = KMER) -> DataFrame:
     """doc_id, n_words, n_removed, kept (the words that stay, joined by a space), one row for each of docs.
 
-    A null text has no words; a document without doc_id loses none.
+    Windows are judged as in repeated_spans.  A null text has no words; a document without doc_id loses none; texts shorter than a window
+    lose none.  An empty table gives an empty one; other columns are ignored, whatever their names.
     """
-    spans = repeated_spans(docs, window, kmer).groupBy("doc_id").agg(F.collect_list(F.struct("first", "n")).alias("spans"))
+    shaped = with_row(docs.select("doc_id", text_or_empty().alias("text")), "row")
+    texts = shaped.where("row is not null")
+    spans = _spans(texts.select("row", "text"), window, kmer).groupBy("row").agg(F.collect_list(F.struct("first", "n")).alias("spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -251,5 +323,5 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, kmer: int = KMER) -> D
                 kept.append(b" ".join(words))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())], ["doc_id", "n_words", "n_removed", "kept"])
 
-    unnamed = docs.where("doc_id is null").select("doc_id", text_or_empty().alias("text"), F.lit(None).cast("array<struct<first:int,n:int>>").alias("spans"))
-    return _identified(docs).join(spans, "doc_id", "left").select("doc_id", "text", "spans").union(unnamed).mapInArrow(run, "doc_id long, n_words long, n_removed long, kept string")
+    unnamed = shaped.where("row is null").select("doc_id", "text", F.lit(None).cast("array<struct<first:int,n:int>>").alias("spans"))
+    return texts.join(spans, "row", "left").select("doc_id", "text", "spans").union(unnamed).mapInArrow(run, "doc_id long, n_words long, n_removed long, kept string")

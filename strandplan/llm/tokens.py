@@ -2,7 +2,8 @@
 
 Neither normaliser nor merges look across white space, so a text's ids are those of its white-space-separated
 chunks, one after the other.  Each distinct chunk is encoded once (by the library's own BPE model) and kept in a
-bounded table; texts are then put together from it by array operations.
+bounded table; texts are then put together from it by array operations.  The table is searched by hash, and what is found
+is compared with the chunk byte by byte: a text with a chunk whose hash another one holds goes to the library whole.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ import unicodedata
 import numpy as np
 import regex
 
-from .common import word_bounds, word_hashes
+from .common import same_bytes, word_bounds, word_hashes
 
 MAX_ENTRIES = 500_000
 """Distinct chunks a worker keeps at most; beyond that the table is started anew, which costs time but no result."""
@@ -54,6 +55,9 @@ class ChunkEncoder:
         self.at = np.zeros(0, np.int64)
         self.counts = np.zeros(0, np.int64)
         self.store = np.zeros(0, np.uint32)
+        self.begin = np.zeros(0, np.int64)
+        self.end = np.zeros(0, np.int64)
+        self.bytes = np.zeros(0, np.uint8)
 
     def _encode_chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all chunks in a row, and how many each has."""
@@ -76,15 +80,17 @@ class ChunkEncoder:
         at = np.searchsorted(self.keys, hashes)
         return at, (at < len(self.keys)) & (self.keys[np.minimum(at, max(len(self.keys) - 1, 0))] == hashes) if len(self.keys) else np.zeros(len(hashes), bool)
 
-    def _learn(self, hashes: np.ndarray, chunks: list[str]) -> None:
-        if len(self.keys) + len(chunks) > MAX_ENTRIES:
-            self._reset()
-        ids, counts = self._encode_chunks(chunks)
+    def _learn(self, hashes: np.ndarray, chunks: list[bytes]) -> None:
+        ids, counts = self._encode_chunks([c.decode("utf-8", "surrogatepass") for c in chunks])
         at = len(self.store) + np.cumsum(counts) - counts
         self.store = np.concatenate([self.store, ids])
+        end = len(self.bytes) + np.cumsum(np.fromiter(map(len, chunks), np.int64, len(chunks)))
+        begin = np.r_[len(self.bytes), end][:-1]
+        self.bytes = np.concatenate([self.bytes, np.frombuffer(b"".join(chunks), np.uint8)])
         keys = np.concatenate([self.keys, hashes])
         order = np.argsort(keys, kind="stable")
-        self.keys, self.at, self.counts = keys[order], np.concatenate([self.at, at])[order], np.concatenate([self.counts, counts])[order]
+        self.keys = keys[order]
+        self.at, self.counts, self.begin, self.end = (np.concatenate(c)[order] for c in ((self.at, at), (self.counts, counts), (self.begin, begin), (self.end, end)))
 
     def normal(self, text: str) -> str:
         if not text.isascii():
@@ -94,7 +100,7 @@ class ChunkEncoder:
         return text.lower()
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        special = [i for i, t in enumerate(texts) if "<|" in t and _SPECIAL.search(t)]
+        special = {i for i, t in enumerate(texts) if "<|" in t and _SPECIAL.search(t)}
         blobs = [self.normal(t).encode("utf-8", "surrogatepass") for t in texts]
         for i in special:
             blobs[i] = b""
@@ -105,14 +111,17 @@ class ChunkEncoder:
         at, known = self._look_up(uniq)
         if not known.all():
             new = some[~known]
-            raw = data.tobytes()
             missing = uniq[~known]
             if len(self.keys) + len(missing) > MAX_ENTRIES:  # then all that this round needs is learnt again
                 missing, new = uniq, some
                 self._reset()
-            self._learn(missing, [raw[s:e].decode("utf-8", "surrogatepass") for s, e in zip(starts[new].tolist(), ends[new].tolist(), strict=True)])
-            at, known = self._look_up(uniq)
-        counts, begin = self.counts[at][inverse], self.at[at][inverse]
+            raw = data.tobytes()
+            self._learn(missing, [raw[s:e] for s, e in zip(starts[new].tolist(), ends[new].tolist(), strict=True)])
+            at, _ = self._look_up(uniq)
+        entry = at[inverse]
+        served = same_bytes(data, starts, ends, self.bytes, self.begin[entry], self.end[entry])
+        special |= set((np.searchsorted(first, np.flatnonzero(~served), "right") - 1).tolist())
+        counts, begin = self.counts[entry], self.at[entry]
         upto = np.r_[0, np.cumsum(counts)]
         ids = self.store[np.repeat(begin - upto[:-1], counts) + np.arange(upto[-1])]
         rows = upto[first]

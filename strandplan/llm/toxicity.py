@@ -1,12 +1,13 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained, one on ordinary text, one on the passages of toxic text that set it apart (runs of
-byte 5-grams that many toxic and few ordinary documents hold).  Each window of a text is compressed once with the ordinary
-dictionary and once with both; what the toxic one saves is the window's distance to ordinary text.  A document's largest
-savings, their mean and the share of windows over a threshold go through a logistic calibration, cross-fitted on
-documents that the dictionaries did not see.
-
-Learnt from at most ``FIT_DOCS`` documents of each label, those of smallest hash of doc_id, of up to ``FIT_BYTES`` each; the
+Two zstandard dictionaries are trained: the ordinary one on windows of ordinary text; the toxic one on the passages of toxic text that
+set it apart (runs of byte 8-grams that many toxic and few ordinary documents hold), with the ordinary one as its tail, so that
+what both kinds of text share compresses alike.  Each window of a text is compressed once with either; a document's
+statistic is the mean of the bytes that the toxic dictionary saves on a window.  Thresholds on it are calibrated: the score is the share of
+toxic documents at that statistic, as a rising step curve (isotonic regression) of documents that the dictionaries of
+their fold did not see.
+
+Learnt from at most ``FIT_DOCS`` documents of each label, those of smallest hash of doc_id among those of up to ``FIT_BYTES``; the
 share of toxic documents, which the calibration is weighted by, is counted over all labels.
 """
 
@@ -17,21 +18,21 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import checkpoint, text_or_empty
 
 FIT_DOCS = 1000
 FIT_BYTES = 40_000
 """Longer documents are not learnt from (they are scored whole)."""
+FIT_WINDOWS = 40_000
+"""Windows of ordinary text, evenly from all documents learnt from, that its dictionary is trained on at most."""
 THRESHOLD = 0.3
-WINDOW_BYTES = 64
-GRAM = 5
-ORDINARY_DICT, TOXIC_DICT = 16384, 3072
+WINDOW_BYTES = 96
+GRAM = 8
+ORDINARY_DICT, TOXIC_DICT = 16384, 6144
 LEAST_SHARE, LEAST_RATIO = 0.02, 20.0
-SAVED = 3
-"""Bytes saved from which a window counts as near toxic text."""
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -71,7 +72,7 @@ def _document_counts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _passages(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
-    """Runs of 5-grams that set toxic documents apart."""
+    """Runs of byte 8-grams that set toxic documents apart."""
     keys, n = _document_counts(toxic)
     other, m = _document_counts(ordinary)
     at = np.minimum(np.searchsorted(other, keys), len(other) - 1)
@@ -99,18 +100,19 @@ def _dictionary(size: int, samples: list[bytes]) -> bytes:
 
 
 def train(toxic: list[bytes], ordinary: list[bytes]) -> tuple[bytes, bytes]:
-    """(ordinary dictionary, both)."""
-    base = _dictionary(ORDINARY_DICT, [w for t in ordinary for w in windows(t)][:40_000])
+    """(ordinary dictionary, toxic dictionary)."""
+    every = [w for t in ordinary for w in windows(t)]
+    base = _dictionary(ORDINARY_DICT, [every[k * len(every) // FIT_WINDOWS] for k in range(FIT_WINDOWS)] if len(every) > FIT_WINDOWS else every)
     runs = _passages(toxic, ordinary)
     extra = _dictionary(TOXIC_DICT, [b"".join(runs[i : i + 6]) for i in range(0, len(runs), 6)]) if runs else b""
     return base, extra + base
 
 
 class Meter:
-    """features(text): what the toxic dictionary saves on the windows of a text."""
+    """saved(text): the bytes that the toxic dictionary saves on a window of the text, in the mean."""
 
     def __init__(self, dictionaries: tuple[bytes, bytes]):
-        self.two = [self._compressor(d) for d in dictionaries]
+        self.ordinary, self.toxic = (self._compressor(d).compress for d in dictionaries)
 
     @staticmethod
     def _compressor(content: bytes) -> zstandard.ZstdCompressor:
@@ -123,60 +125,62 @@ class Meter:
         d.precompute_compress(compression_params=own)
         return zstandard.ZstdCompressor(dict_data=d, compression_params=own)
 
-    def features(self, text: bytes) -> tuple[float, ...]:
-        one, both = (c.compress for c in self.two)
-        saved = np.array([len(one(w)) - len(both(w)) for w in windows(text)], float)
-        if not len(saved):
-            return (0.0,) * 6
-        top = np.sort(saved)[::-1]
-        n = len(saved)
-        return (top[0], top[1:3].sum(), saved.mean() * 4, (saved >= SAVED).mean() * 10, np.log1p((saved >= SAVED).sum()), np.log(n) / 4)
-
-
-def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.5) -> np.ndarray:
-    """Coefficients, the constant last; Newton steps on the weighted, ridge-penalised likelihood."""
-    x = np.c_[x, np.ones(len(x))]
-    b = np.zeros(x.shape[1])
-    penalty = np.full(len(b), ridge)
-    penalty[-1] = 1e-6
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ b, -30, 30)))
-        h = (x * (weight * p * (1 - p))[:, None]).T @ x + np.diag(penalty)
-        step = np.linalg.solve(h, x.T @ (weight * (y - p)) - penalty * b)
-        b += step
-        if np.abs(step).max() < 1e-8:
-            break
-    return b
-
-
-def fit(toxic: list[str], ordinary: list[str], share: float) -> tuple[tuple[bytes, bytes], np.ndarray]:
-    """Dictionaries and coefficients. share: of toxic among all labelled documents."""
+    def saved(self, text: bytes) -> float:
+        ordinary, toxic, pieces = self.ordinary, self.toxic, windows(text)
+        return sum(len(ordinary(w)) - len(toxic(w)) for w in pieces) / max(len(pieces), 1)
+
+
+def _rising(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Knots (x, share) of the weighted share of y that never falls as x grows: neighbours that would are pooled, each pool with one part of ordinary text more."""
+    levels, of = np.unique(x, return_inverse=True)
+    pools: list[list[float]] = []  # least and greatest x, weight of y, weight
+    for at, hit, w in zip(levels.tolist(), np.bincount(of, y * weight).tolist(), np.bincount(of, weight).tolist(), strict=True):
+        pools.append([at, at, hit, w])
+        while len(pools) > 1 and pools[-2][2] * pools[-1][3] >= pools[-1][2] * pools[-2][3]:
+            _, most, h, n = pools.pop()
+            pools[-1] = [pools[-1][0], most, pools[-1][2] + h, pools[-1][3] + n]
+    one = weight.min()
+    knots = np.array([k for p in pools for k in (p[:2] if p[0] < p[1] else p[:1])])
+    shares = np.array([p[2] / (p[3] + one) for p in pools for _ in (p[:2] if p[0] < p[1] else p[:1])])
+    return knots, np.maximum.accumulate(shares)
+
+
+def fit(toxic: list[str], ordinary: list[str], share: float) -> tuple[tuple[bytes, bytes], tuple[np.ndarray, np.ndarray]]:
+    """Dictionaries and calibration. share: of toxic among all labelled documents."""
     groups = [[prepared(t) for t in g] for g in (ordinary, toxic)]
     x, y = [], []
     for fold in (0, 1):
         rest = [g[1 - fold :: 2] or g for g in groups]
         meter = Meter(train(rest[1], rest[0]))
         for label, g in enumerate(groups):
-            x += [meter.features(t) for t in g[fold::2]]
+            x += [meter.saved(t) for t in g[fold::2]]
             y += [label] * len(g[fold::2])
     y = np.array(y)
     n = np.bincount(y, minlength=2)
     weight = np.where(y == 1, share / n[1], (1 - share) / n[0]) * len(y)
-    return train(groups[1], groups[0]), _logistic(np.array(x), y, weight)
+    return train(groups[1], groups[0]), _rising(np.array(x), y, weight)
 
 
 def learn(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS):
-    """fit() on the labelled documents that are not held out; None if a label has none."""
-    known = labels.where(~held_out() & F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    n = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    rank = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = known.withColumn("_rank", rank).where(F.col("_rank") <= fit_docs).select("doc_id", "toxic")
-    rows = docs.select("doc_id", "text").where(F.octet_length("text") <= FIT_BYTES).join(F.broadcast(chosen), "doc_id").collect()
-    rows.sort(key=lambda r: (r["doc_id"], r["text"]))
-    texts = [[r["text"] for r in rows if r["toxic"] == k][: 2 * fit_docs] for k in (1, 0)]
-    if not all(texts):
+    """fit() on the labelled documents that are not held out; None if a label has none.
+
+    Of a doc_id with several labels the highest counts, of one with several texts the least.  A hash below a bound that the counts
+    give leaves little more than ``fit_docs`` ids of each label before they are put in order.
+    """
+    known = labels.where(~held_out() & F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    short = docs.where((F.octet_length("text") <= FIT_BYTES) & F.col("doc_id").isNotNull())
+    usable = checkpoint(known.join(short.select("doc_id").distinct().withColumn("short", F.lit(True)), "doc_id", "left"))
+    n = {k: 0 for k in (0, 1)} | {r["toxic"]: r["n"] for r in usable.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    if not n[0] or not n[1]:
         return None
-    return fit(*texts, n[1] / (n[0] + n[1]))
+    texts = []
+    for label in (1, 0):
+        own = usable.where((F.col("toxic") == label) & F.col("short"))
+        share = min(1.0, (fit_docs + 8 * fit_docs**0.5 + 64) / max(own.count(), 1))
+        chosen = own.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1).orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_docs).select("doc_id")
+        rows = short.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text")).collect()
+        texts.append([r["text"] for r in sorted(rows, key=lambda r: r["doc_id"])])
+    return fit(*texts, n[1] / (n[0] + n[1])) if all(texts) else None
 
 
 class Judge:
@@ -188,8 +192,8 @@ class Judge:
     def scores(self, texts: pa.Array) -> np.ndarray:
         if not self.model or not len(texts):
             return np.zeros(len(texts))
-        x = np.array([self.meter.features(prepared(t.as_py() or "")) for t in texts])
-        return 1 / (1 + np.exp(-np.clip(np.c_[x, np.ones(len(x))] @ self.model[1], -30, 30)))
+        x = np.array([self.meter.saved(prepared(t.as_py() or "")) for t in texts])
+        return np.interp(x, *self.model[1])
 
 
 def score(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS) -> DataFrame:

@@ -58,25 +58,26 @@ def test_two_smaller_pieces_replace_the_smallest():
 
 
 def brute_lines(texts):
-    seen, first, gone = {}, {}, set()
-    order = []
+    first, gone, order, near = {}, set(), [], {}
     for d in sorted(texts):
         for k, line in enumerate(texts[d].split("\n")):
             w = tuple(line.encode().lower().split())
-            if w:
-                if w in first:
+            if not w:
+                continue
+            if w in first:
+                gone.add((d, k))
+                continue
+            first[w] = (d, k)
+            bag = Counter(w)
+            for o in order:
+                longer = max(len(w), len(o))
+                if min(len(w), len(o)) < lines.LEAST_WORDS or abs(len(w) - len(o)) > longer // 5:
+                    continue
+                if (bag & near[o]).total() >= longer - longer // 5 and lines.within_bound(list(w), list(o)):
                     gone.add((d, k))
-                else:
-                    first[w] = (d, k)
-                    order.append(w)
-    seen = defaultdict(list)
-    for w in order:
-        if len(w) >= lines.LEAST_WORDS:
-            keys = [(*w[:i], None, *w[i + 1 :]) for i in range(len(w))] + [(*w[:i], None, *w[i:]) for i in range(len(w) + 1)] if len(w) < 500 else []
-            if any(lines.within_one_word(list(w), list(o)) for k in keys for o in seen.get(k, ())):
-                gone.add(first[w])
-            for k in keys:
-                seen[k].append(w)
+                    break
+            order.append(w)
+            near[w] = bag
     return gone
 
 
@@ -127,20 +128,45 @@ def test_lines_within_a_fifth_of_their_words(spark):
                 want.add((i, k))
                 break
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    got = {(r.doc_id, r.line) for r in lines.repeated_lines(df, similar=True).collect()}
+    got = {(r.doc_id, r.line) for r in lines.repeated_lines(df).collect()}
     assert got == want and len(want) > 50
     for a, b in zip(kept, kept[1:]):
         d = word_distance(a, b)
         assert lines.within_edits(a, b, d) and not (d and lines.within_edits(a, b, d - 1))
 
 
-@pytest.mark.parametrize("similar", [False, True])
-def test_near_lines_of_repeated_rows(spark, similar):
+@pytest.mark.parametrize("common", [0, lines.COMMON])
+def test_near_lines_of_repeated_rows(spark, common, monkeypatch):
+    monkeypatch.setattr(lines, "COMMON", common)
     ten = "a b c d e f g h i j"
     rows = [(1, ten), (1, ten), (2, "a b c d e f g h i x"), (2, "a b c d e f g h i x"), (3, "k l m n o p"), (4, "k l m n o q"), (4, "k l m n o q"), (5, "y b c d e f g h i z"), (5, "y b c d e f g h i z")]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    got = {(r.doc_id, r.line) for r in lines.repeated_lines(df, similar).collect()}
-    assert got == {(2, 0), (4, 0), *([(5, 0)] if similar else [])}
+    got = {(r.doc_id, r.line) for r in lines.repeated_lines(df).collect()}
+    assert got == {(2, 0), (4, 0), (5, 0)}
+
+
+def test_filter_keys_lose_no_near_line():
+    from itertools import pairwise
+
+    rng = np.random.default_rng(5)
+    for rarity in (np.zeros(1 << lines.SLOT_BITS, np.uint8), np.full(1 << lines.SLOT_BITS, 40, np.uint8), rng.integers(0, 15, 1 << lines.SLOT_BITS).astype(np.uint8)):
+        for n in (*range(5, 60), 90, 130):
+            base = [f"w{x}" for x in rng.integers(0, 3 * n, n)]
+            rows = []
+            for _ in range(6):
+                w = list(base)
+                for _ in range(n // 5):
+                    at, kind = rng.integers(len(w)), rng.integers(3)
+                    w[at : at + (kind != 1)] = [f"v{rng.integers(9)}"] if kind < 2 else []
+                rows.append(w)
+            rows = [w for w in rows if len(w) >= 5]
+            data = np.frombuffer("\n".join(map(" ".join, rows)).encode(), np.uint8)
+            starts, ends, _ = lines.word_bounds(data, np.array([0, len(data)]))
+            hi = np.cumsum([len(w) for w in rows])
+            of, keys = lines.filter_keys(lines.word_hashes(data, starts, ends), np.r_[0, hi[:-1]], hi, rarity)
+            for (i, a), (j, b) in pairwise(enumerate(rows)):
+                if a != b and lines.within_bound(a, b):
+                    assert set(keys[of == i]) & set(keys[of == j]), (a, b)
 
 
 @pytest.mark.parametrize("limit", [simhash.LIST_LIMIT, 1])
@@ -176,9 +202,9 @@ def test_position_sets_cover_any_five():
 
 
 def test_licenses(spark):
-    rows = [(1, "intro words here. Released under the MIT License. more"), (2, "LICENSED under CC BY-NC 4.0"), (3, None), (4, "no licence " * 50), (5, "x " * 9000 + licenses.NOTICES["BSD"] + " y" * 9000), (6, "This work is licensed under the GNU General Public License, version 3."), (7, "")]
+    rows = [(1, "intro words here. Released under the MIT License. more"), (2, "LICENSED under CC BY-NC 4.0"), (3, None), (4, "no licence " * 50), (5, "x " * 9000 + licenses.NOTICES["BSD-3-Clause"] + " y" * 9000), (6, "This work is licensed under the GNU General Public License, version 3."), (7, "")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    assert {(r.doc_id, r.license_id) for r in licenses.find_licenses(df).collect()} == {(1, "MIT"), (2, "CC-BY-NC-4.0"), (5, "BSD"), (6, "GPL-3.0")}
+    assert {(r.doc_id, r.license_id) for r in licenses.find_licenses(df).collect()} == {(1, "MIT-notice"), (2, "CC-BY-NC-4.0"), (5, "BSD-3-Clause"), (5, "BSD-2-Clause"), (6, "GPL-2.0"), (6, "GPL-3.0")}
     assert licenses.find_licenses(df, {}).count() == 0
 
 
@@ -261,25 +287,3 @@ def test_empty_tables(spark):
         toxicity.score(empty, labels), quality.judge(empty), language.identify(empty), substrings.remove_repeats(empty),
     ):
         assert df.collect() == []
-
-
-def test_pipeline(spark, tmp_path):
-    import corpus_pipeline
-
-    rows = ROWS[:-3]
-    frame(spark, rows).select("doc_id", "text", "lang", "source", "n_chars").write.parquet(str(tmp_path / "documents.parquet"))
-    spark.createDataFrame([(i, 1, 0) for i in range(0, 150, 2)] + [(151, 1, 1)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
-    item = " ".join(rows[175][1].split()[12:40])
-    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
-    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
-    before = set(range(10**6))
-    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
-        out = stage(spark, docs, str(tmp_path))
-        if k < 4:
-            assert out.columns == ["doc_id", "text", "lang", "source", "n_chars"]
-        out.write.parquet(str(tmp_path / f"out{k}"))
-        docs = spark.read.parquet(str(tmp_path / f"out{k}"))
-        now = {r.doc_id for r in docs.select("doc_id").collect()}
-        assert now <= before and now
-        before = now
-    assert corpus_pipeline.run(spark, str(tmp_path)).count() == docs.count()
