@@ -22,7 +22,7 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated and nearly repeated lines go from the texts; every document stays, with an empty text if no line does."""
     ensure_importable(spark)
-    return lines.dedup_lines(docs, similar=True)
+    return lines.dedup_lines(docs)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +39,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of at most 2048 tokens with their sequence and offset."""
     ensure_importable(spark)
-    return packing.pack_documents(docs, vocabulary_path())
+    return packing.pack_documents(docs, vocabulary_path)
 
 
 STAGES = [
