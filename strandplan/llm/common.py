@@ -6,6 +6,8 @@ set, so the byte view and the code-point view give the same words.
 
 from __future__ import annotations
 
+import gc
+import time
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -16,7 +18,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..graphs import checkpointed as checkpoint  # noqa: F401
+from ..graphs import checkpointed as checkpoint
 from ..session import ensure_importable
 
 CHUNK_BYTES = 1 << 19
@@ -30,6 +32,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def release(spark: SparkSession) -> None:
+    """Shuffle files and checkpoints that nothing refers to any more go now, not at some later collection of garbage: it takes two, as
+    the first ends plans, which hold the shuffles that the second ends."""
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -51,22 +62,45 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
-def with_row(docs: DataFrame, row: str) -> DataFrame:
-    """docs with a column that tells apart the texts of one doc_id and orders as doc_id does; null without doc_id.
+def with_row(docs: DataFrame, row: str) -> tuple[DataFrame, bool, bool]:
+    """docs with a column that tells apart the texts of one doc_id and orders as doc_id does, null without doc_id; whether two rows share a value; whether it is other than doc_id.
 
     It is the doc_id itself where no doc_id has two texts.  Otherwise the distinct (doc_id, XXH64 of the text) are put in order
     over ranges and numbered; of one doc_id's texts that of the lesser hash comes first.  Repeated rows share a number.
     """
     text_hash = F.xxhash64(text_or_empty())
     keys = docs.where("doc_id is not null").select("doc_id", text_hash.alias("h"))
-    if not keys.groupBy("doc_id").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo <> hi").limit(1).count():
-        return docs.withColumn(row, F.col("doc_id").cast("long"))
+    several = keys.groupBy("doc_id").agg(F.min("h").alias("lo"), F.max("h").alias("hi"), F.count("*").alias("n")).where("n > 1").agg(F.count("*").alias("n"), F.coalesce(F.bool_or(F.col("lo") != F.col("hi")), F.lit(False)).alias("unlike")).first()
+    if not several["unlike"]:
+        return docs.withColumn(row, F.col("doc_id").cast("long")), several["n"] > 0, False
     ranged = keys.distinct().repartitionByRange(shuffle_partitions(docs.sparkSession), "doc_id", "h").sortWithinPartitions("doc_id", "h")
     numbered = checkpoint(ranged.withColumn(row, F.monotonically_increasing_id()))
     h = unused(docs, "h")
     doc, hashed = unused(left := docs.withColumn(h, text_hash), "_doc"), unused(left, "_h")
     numbered = numbered.select(F.col("doc_id").alias(doc), F.col("h").alias(hashed), row)
-    return left.join(numbered, (F.col("doc_id") == F.col(doc)) & (F.col(h) == F.col(hashed)), "left").select(*docs.columns, row)
+    return left.join(numbered, (F.col("doc_id") == F.col(doc)) & (F.col(h) == F.col(hashed)), "left").select(*docs.columns, row), True, True
+
+
+def once_a_task(rows: DataFrame, *key: str) -> DataFrame:
+    """Without the rows whose key a task has met already, so that the many copies of one don't meet in one reducer."""
+    at = [rows.columns.index(k) for k in key]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set = set()
+        for batch in batches:
+            new = []
+            for k in zip(*(batch.column(i).to_pylist() for i in at), strict=True):
+                new.append(k not in seen)
+                seen.add(k)
+            yield batch.filter(pa.array(new, pa.bool_()))
+
+    return rows.mapInArrow(run, rows.schema)
+
+
+def distinct_texts(shaped: DataFrame, repeated: bool, row: str = "row") -> DataFrame:
+    """row, text of each row number once."""
+    texts = shaped.where(F.col(row).isNotNull()).select(F.col(row).alias("row"), text_or_empty().alias("text"))
+    return once_a_task(texts, "row").dropDuplicates(["row"]) if repeated else texts
 
 
 # ---------------------------------------------------------------- Arrow batches

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from ..graphs import connected_components
-from .common import PACKED, bucket_of, by_bucket, checkpoint, mix, pack, packed_batch, shuffle_partitions, text_or_empty, unpack, unused
+from .common import PACKED, bucket_of, by_bucket, checkpoint, mix, once_a_task, pack, packed_batch, shuffle_partitions, text_or_empty, unpack, unused
 
 SHINGLE = 3
 MAX_BITS = 3
@@ -223,24 +223,8 @@ def keep_first(docs: DataFrame, limit: int = LIST_LIMIT) -> DataFrame:
     named = marked.where("doc_id is not null")
     repeated = bool(fps.groupBy("doc_id", row).count().where("count > 1").limit(1).count())
     if repeated:
-        named = _once_a_task(named, row)
+        named = once_a_task(named, "doc_id", row)
     named = named.join(kept, ["doc_id", row], "left_semi")
     if repeated:
         named = named.dropDuplicates(["doc_id", row])
     return named.select(*docs.columns).union(docs.where("doc_id is null"))
-
-
-def _once_a_task(rows: DataFrame, row: str) -> DataFrame:
-    """Without the rows that a task has met already, so that one row's many copies don't meet in one reducer."""
-    at = [rows.columns.index("doc_id"), rows.columns.index(row)]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set = set()
-        for batch in batches:
-            new = []
-            for key in zip(*(batch.column(k).to_pylist() for k in at), strict=True):
-                new.append(key not in seen)
-                seen.add(key)
-            yield batch.filter(pa.array(new, pa.bool_()))
-
-    return rows.mapInArrow(run, rows.schema)

@@ -6,11 +6,12 @@ A window of 20 words is an edge of the graph, from the node of its first 19 word
    the window: equal windows have equal minimisers, so a window is repeated only if its minimiser is.  Each document's
    minimisers are counted; a repeated one sends back its source coordinates, and a join brings those to the texts.
 2. All occurrences of an edge meet (dealt by the edge, so a k-mer that is common in many surroundings loads no one task).  They
-   give its first source coordinate, how often it occurs, and whether one edge alone follows or precedes it everywhere: a
-   node is nonbranching if one edge enters it, one leaves it, and no document starts or ends there.
-3. Two edges at a nonbranching node have the same occurrences, one word apart, so their first coordinates are one word apart in
-   one document.  Hence a nonbranching path lies in one piece in its source document: a shuffle by source document brings
-   its edges together, and a merge of each edge's end with the start of the next compacts it, whatever its length.
+   give its first source coordinate and two sums of hashes over all occurrences, of where each starts and of where the edge before
+   it would start.
+3. A node is nonbranching if one edge enters it, one leaves it, and no document starts or ends there: then both have the same
+   occurrences, one word apart, which their sums tell.  Their first coordinates, too, are one word apart in one document, so a
+   nonbranching path lies in one piece in its source document.  A shuffle by source document brings its edges together, and a
+   merge of each edge's end with the start of the next compacts it, whatever its length.
 4. An occurrence of a path's first edge stands for the whole path.  Those that are not the first are verified against the source
    coordinates of the path (edge by edge: the same 128 bits in both places) and become spans; a join by document removes them.
 
@@ -28,14 +29,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import PACKED, bucket_of, by_bucket, from_planes, gram_hashes, ids_of, mix, pack, packed_batch, planes, shuffle_partitions, text_chunks, text_or_empty, unpack, with_row, word_bounds, word_hashes
+from .common import PACKED, bucket_of, by_bucket, distinct_texts, from_planes, gram_hashes, ids_of, mix, pack, packed_batch, planes, shuffle_partitions, text_chunks, text_or_empty, unpack, with_row, word_bounds, word_hashes
 
 WINDOW = 20
 KMER = 10
 FLUSH_ENTRIES = 500_000
-ENTRY, PASSED = 0, 1
-NONE = 0
-"""In place of a neighbour's hash: there is none, or not one alone."""
+ENTRY, PASSED, SEVERAL = 0, 1, 2
 
 
 def minimisers(hashes: np.ndarray, first: np.ndarray, window: int, kmer: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -135,31 +134,31 @@ def _repeated(anchors: DataFrame, partitions: int) -> DataFrame:
     return by_bucket(anchors, reduce, "row long, place int", partitions)
 
 
-def _sole(values: np.ndarray, group: np.ndarray, n: int) -> np.ndarray:
-    """The value that all of a group have, or NONE."""
-    low = np.full(n, np.uint32(2**32 - 1))
-    high = np.zeros(n, np.uint32)
-    np.minimum.at(low, group, values)
-    np.maximum.at(high, group, values)
-    return np.where(low == high, low, np.uint32(NONE))
+def _where(ids: np.ndarray, places: np.ndarray) -> np.ndarray:
+    return mix(mix(ids.view(np.uint64)) + places.astype(np.int64).view(np.uint64))
+
+
+def _kinds(kind: int, rows: list[tuple[int, bytes]]) -> list[tuple[int, bytes]]:
+    return [(b, np.int64(kind).tobytes() + p) for b, p in rows]
 
 
 def _edges(marked: DataFrame, buckets: int, window: int, kmer: int) -> DataFrame:
-    """Packed: both hashes, row, place, sole neighbours and number of each distinct window of a task around a repeated minimiser; lost within the task: row and place."""
+    """Packed: both hashes, row and place of each distinct window of a task around a repeated minimiser, with both sums if it has several there; lost within the task: row and place."""
 
     def flush(held: list[tuple]) -> pa.RecordBatch:
-        one, two, ids, places, before, after = (np.concatenate([h[i] for h in held]) for i in range(6))
+        one, two, ids, places = (np.concatenate([h[i] for h in held]) for i in range(4))
         by, new = _first_of([one, two], ids, places)
-        group = np.cumsum(new) - 1
-        n = int(new.sum())
-        kept = by[new]
-        before, after, times = _sole(before[by], group, n), _sole(after[by], group, n), np.bincount(group, minlength=n)
-        head = kept[group]
-        rest = by[(ids[by] != ids[head]) | (places[by] != places[head])]
-        rows = [(b, np.int64(ENTRY).tobytes() + p) for b, p in planes(bucket_of(one[kept], buckets), one[kept], two[kept], ids[kept], places[kept], before, after, times.astype(np.int32))]
+        begin = np.flatnonzero(new)
+        single = np.diff(np.r_[begin, len(by)]) == 1
+        kept = by[begin]
+        own, before = (np.add.reduceat(_where(ids[by], places[by] - k), begin) for k in (0, 1))
+        b = bucket_of(one[kept], buckets)
+        few, some = kept[single], kept[~single]
+        rows = _kinds(ENTRY, planes(b[single], one[few], two[few], ids[few], places[few]))
+        rows += _kinds(SEVERAL, planes(b[~single], one[some], two[some], ids[some], places[some], own[~single], before[~single]))
+        rest = by[~new]
         rest = rest[np.lexsort((places[rest], ids[rest]))]
-        rows += [(b, np.int64(PASSED).tobytes() + p) for b, p in planes(bucket_of(mix(ids[rest].view(np.uint64)), buckets), ids[rest], places[rest])]
-        return packed_batch(rows)
+        return packed_batch(rows + _kinds(PASSED, planes(bucket_of(mix(ids[rest].view(np.uint64)), buckets), ids[rest], places[rest])))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
@@ -179,12 +178,9 @@ def _edges(marked: DataFrame, buckets: int, window: int, kmer: int) -> DataFrame
                 if not len(begin):
                     continue
                 row = np.searchsorted(first, begin, "right") - 1
-                every = gram_hashes(hashes, window)
-                short = np.maximum((every >> np.uint64(32)).astype(np.uint32), np.uint32(1))
+                one = gram_hashes(hashes, window)[begin]
                 two = gram_hashes(word_hashes(data, starts, ends, 1), window)[begin]
-                before = np.where(begin > first[row], short[begin - 1], np.uint32(NONE))
-                after = np.where(begin + window < first[row + 1], short[np.minimum(begin + 1, len(short) - 1)], np.uint32(NONE))
-                held.append((every[begin], two, ids[lo:hi][row], (begin - first[row]).astype(np.int32), before, after))
+                held.append((one, two, ids[lo:hi][row], (begin - first[row]).astype(np.int32)))
                 n += len(begin)
                 if n >= FLUSH_ENTRIES:
                     yield flush(held)
@@ -196,32 +192,38 @@ def _edges(marked: DataFrame, buckets: int, window: int, kmer: int) -> DataFrame
 
 
 def _firsts(edges: DataFrame, buckets: int, partitions: int) -> DataFrame:
-    """Packed, dealt by source: row and place of each repeated edge's first occurrence, its number and whether it has sole neighbours, with row and place of another occurrence (its own: none); known lost: row and place."""
+    """Packed, dealt by source: row and place of each repeated edge's first occurrence, its sums, and row and place of an occurrence (the first has the sums, others zeros); known lost: row and place."""
 
     def reduce(payloads: list) -> Iterator[pa.RecordBatch]:
-        entries = []
+        single, several = [], []
         for p in payloads:
-            body = memoryview(p)[8:]
-            if np.frombuffer(p, np.int64, 1)[0] == PASSED:
+            kind, body = np.frombuffer(p, np.int64, 1)[0], memoryview(p)[8:]
+            if kind == PASSED:
                 ids, places = from_planes([body], [np.int64, np.int32])
-                yield packed_batch([(b, np.int64(PASSED).tobytes() + q) for b, q in planes(bucket_of(mix(ids.view(np.uint64)), buckets), ids, places)])
+                yield packed_batch(_kinds(PASSED, planes(bucket_of(mix(ids.view(np.uint64)), buckets), ids, places)))
             else:
-                entries.append(body)
-        if not entries:
+                (single if kind == ENTRY else several).append(body)
+        parts = []
+        if single:
+            one, two, ids, places = from_planes(single, [np.uint64, np.uint64, np.int64, np.int32])
+            parts.append((one, two, ids, places, _where(ids, places), _where(ids, places - 1), np.zeros(len(ids), bool)))
+        if several:
+            parts.append((*(cols := from_planes(several, [np.uint64, np.uint64, np.int64, np.int32, np.uint64, np.uint64])), np.ones(len(cols[0]), bool)))
+        if not parts:
             return
-        one, two, ids, places, before, after, times = from_planes(entries, [np.uint64, np.uint64, np.int64, np.int32, np.uint32, np.uint32, np.int32])
+        one, two, ids, places, own, before, more = (np.concatenate([p[i] for p in parts]) for i in range(7))
         by, new = _first_of([one, two], ids, places)
+        begin = np.flatnonzero(new)
         group = np.cumsum(new) - 1
-        n = int(new.sum())
-        before, after = _sole(before[by], group, n) != NONE, _sole(after[by], group, n) != NONE
-        total = np.bincount(group, weights=times[by], minlength=n).astype(np.int32)
-        head, use = by[new][group], (total > 1)[group]
-        by, head, group = by[use], head[use], group[use]
+        own, before = np.add.reduceat(own[by], begin), np.add.reduceat(before[by], begin)
+        repeated = (np.diff(np.r_[begin, len(by)]) > 1) | np.logical_or.reduceat(more[by], begin)
+        head, use = by[begin][group], repeated[group]
+        by, head, group, new = by[use], head[use], group[use], new[use]
         order = np.lexsort((places[by], ids[by], places[head], ids[head]))
-        by, head, group = by[order], head[order], group[order]
-        sole = (before[group] + 2 * after[group]).astype(np.uint8)
+        by, head, group, new = by[order], head[order], group[order], new[order]
         b = bucket_of(mix(ids[head].view(np.uint64)), buckets)
-        yield packed_batch([(k, np.int64(ENTRY).tobytes() + q) for k, q in planes(b, ids[head], places[head], total[group], sole, ids[by], places[by])])
+        none = np.uint64(0)
+        yield packed_batch(_kinds(ENTRY, planes(b, ids[head], places[head], np.where(new, own[group], none), np.where(new, before[group], none), ids[by], places[by])))
 
     return by_bucket(edges, reduce, PACKED, partitions)
 
@@ -236,12 +238,12 @@ def _runs(ids: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return ids[cuts[:-1]], places[cuts[:-1]], (last - places[cuts[:-1]] + 1).astype(np.int32)
 
 
-def compacted(ids: np.ndarray, places: np.ndarray, times: np.ndarray, sole: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def compacted(ids: np.ndarray, places: np.ndarray, own: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Of edges in order of their first coordinates: which begin a nonbranching path, and the path's length there.
 
-    Consecutive edges are linked if the former has one successor and the latter one predecessor everywhere, and both occur equally often.
+    Consecutive edges are linked if the occurrences of the former are those before the latter: the sums over them are equal.
     """
-    linked = np.r_[False, (ids[1:] == ids[:-1]) & (places[1:] == places[:-1] + 1) & ((sole[:-1] & 2) > 0) & ((sole[1:] & 1) > 0) & (times[1:] == times[:-1])] if len(ids) else np.zeros(0, bool)
+    linked = np.r_[False, (ids[1:] == ids[:-1]) & (places[1:] == places[:-1] + 1) & (own[:-1] == before[1:])] if len(ids) else np.zeros(0, bool)
     heads = np.flatnonzero(~linked)
     length = np.zeros(len(ids), np.int32)
     length[heads] = np.diff(np.r_[heads, len(ids)])
@@ -260,10 +262,10 @@ def _lost(firsts: DataFrame, partitions: int) -> DataFrame:
             ids, first, n = _runs(*from_planes(passed, [np.int64, np.int32]))
             yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(first), pa.array(n), pa.nulls(len(ids), pa.int64()), pa.nulls(len(ids), pa.int32())], names)
         if entries:
-            ids, places, times, sole, at_id, at_place = from_planes(entries, [np.int64, np.int32, np.int32, np.uint8, np.int64, np.int32])
-            by, new = _first_of([ids, places])
+            ids, places, own, before, at_id, at_place = from_planes(entries, [np.int64, np.int32, np.uint64, np.uint64, np.int64, np.int32])
+            by, new = _first_of([ids, places], at_id, at_place)  # the first occurrence of an edge is its own first coordinate
             edge = by[new]
-            head, length = compacted(ids[edge], places[edge], times[edge], sole[edge])
+            head, length = compacted(ids[edge], places[edge], own[edge], before[edge])
             group = np.cumsum(new) - 1
             use = head[group] & ((at_id[by] != ids[by]) | (at_place[by] != places[by]))
             by, n = by[use], length[group[use]]
@@ -275,10 +277,10 @@ def _lost(firsts: DataFrame, partitions: int) -> DataFrame:
 def _spans(texts: DataFrame, window: int, kmer: int) -> DataFrame:
     """_lost() of texts (row, text)."""
     partitions = shuffle_partitions(texts.sparkSession)
-    buckets = 4 * partitions
+    buckets = 2 * partitions  # three kinds of rows go to each from each task
     repeated = _repeated(_anchors(texts, buckets, window, kmer), partitions)
     places = repeated.groupBy("row").agg(F.collect_list("place").alias("places"))
-    return _lost(_firsts(_edges(texts.join(places, "row"), buckets, window, kmer), buckets, partitions), partitions)
+    return _lost(_firsts(_edges(texts.join(places, "row").select("row", "text", "places"), buckets, window, kmer), buckets, partitions), partitions)
 
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW, kmer: int = KMER) -> DataFrame:
@@ -289,10 +291,10 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, kmer: int = KMER) -> D
     in that order and take no part; rows that repeat a doc_id and its text count as one document, different texts of one
     doc_id as several, in a fixed order.
     """
-    texts = with_row(docs.select("doc_id", "text"), "row").where("row is not null").select("row", "doc_id", text_or_empty().alias("text"))
-    named = texts.select("row", "doc_id").distinct()
+    shaped, repeated, _ = with_row(docs.select("doc_id", "text"), "row")
+    named = shaped.where("row is not null").select("row", "doc_id").distinct()
     source = named.select(F.col("row").alias("source_row"), F.col("doc_id").alias("source_doc_id"))
-    return _spans(texts.select("row", "text"), window, kmer).join(named, "row").join(source, "source_row", "left").select("doc_id", "first", "n", "source_doc_id", "source_first")
+    return _spans(distinct_texts(shaped, repeated), window, kmer).join(named, "row").join(source, "source_row", "left").select("doc_id", "first", "n", "source_doc_id", "source_first")
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, kmer: int = KMER) -> DataFrame:
@@ -301,9 +303,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, kmer: int = KMER) -> D
     Windows are judged as in repeated_spans.  A null text has no words; a document without doc_id loses none; texts shorter than a window
     lose none.  An empty table gives an empty one; other columns are ignored, whatever their names.
     """
-    shaped = with_row(docs.select("doc_id", text_or_empty().alias("text")), "row")
-    texts = shaped.where("row is not null")
-    spans = _spans(texts.select("row", "text"), window, kmer).groupBy("row").agg(F.collect_list(F.struct("first", "n")).alias("spans"))
+    shaped, repeated, renumbered = with_row(docs.select("doc_id", text_or_empty().alias("text")), "row")
+    texts = shaped.where("row is not null").select("row", "text", *(["doc_id"] if renumbered else []))  # one shuffle serves both joins if not
+    spans = _spans(distinct_texts(shaped, repeated) if repeated else texts, window, kmer).groupBy("row").agg(F.collect_list(F.struct("first", "n")).alias("spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -324,4 +326,4 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, kmer: int = KMER) -> D
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())], ["doc_id", "n_words", "n_removed", "kept"])
 
     unnamed = shaped.where("row is null").select("doc_id", "text", F.lit(None).cast("array<struct<first:int,n:int>>").alias("spans"))
-    return texts.join(spans, "row", "left").select("doc_id", "text", "spans").union(unnamed).mapInArrow(run, "doc_id long, n_words long, n_removed long, kept string")
+    return texts.join(spans, "row", "left").select(F.col("doc_id" if renumbered else "row").alias("doc_id"), "text", "spans").union(unnamed).mapInArrow(run, "doc_id long, n_words long, n_removed long, kept string")

@@ -126,9 +126,10 @@ def test_branching_inside_repeats(spark):
 
 def test_compaction_by_links():
     ids, places = np.array([1, 1, 1, 1, 2]), np.array([3, 4, 5, 9, 10], np.int32)
-    head, length = substrings.compacted(ids, places, np.array([2, 2, 2, 2, 2]), np.array([2, 3, 3, 1, 3], np.uint8))
+    own, before = np.array([7, 8, 9, 10, 11], np.uint64), np.array([6, 7, 8, 9, 10], np.uint64)
+    head, length = substrings.compacted(ids, places, own, before)
     assert head.tolist() == [True, False, False, True, True] and length.tolist() == [3, 0, 0, 1, 1]
-    assert substrings.compacted(ids[:3], places[:3], np.array([2, 3, 3]), np.array([3, 3, 3], np.uint8))[1].tolist() == [1, 2, 0]
+    assert substrings.compacted(ids[:3], places[:3], np.array([1, 8, 9], np.uint64), before[:3])[1].tolist() == [1, 2, 0]
 
 
 P, Q = " ".join(f"p{k}" for k in range(30)), " ".join(f"q{k}" for k in range(30))
@@ -342,7 +343,7 @@ def test_pipeline_stage_by_stage(spark, tmp_path):
                         moved = True
             want = sorted({i for i in fps if group[i] == i})
             assert sorted(r[0] for r in now if r[0] is not None) == want
-        assert sum(r[0] is None for r in now) == sum(r[0] is None for r in rows)
+            assert sum(r[0] is None for r in now) == sum(r[0] is None for r in rows)
         elif name == "benchmark_decontamination":
             wanted = words_shingles(item)
             assert Counter(now) == Counter(r for r in rows if r[0] is None or len(wanted & words_shingles(r[1])) < math.ceil(0.8 * len(wanted) - 1e-9))
@@ -352,7 +353,7 @@ def test_pipeline_stage_by_stage(spark, tmp_path):
 
             tok = Tokenizer.from_file(vocabulary_path())
             assert docs.groupBy("doc_id").sum("length").count() == len({r[0] for r in rows})
-        assert sum(r[3] for r in now) == sum(len(tok.encode(r[1] or "", add_special_tokens=False).ids) + 1 for r in rows)
+            assert sum(r[3] for r in now) == sum(len(tok.encode(r[1] or "", add_special_tokens=False).ids) + 1 for r in rows)
         rows = now
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == docs.count()
 

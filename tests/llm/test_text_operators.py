@@ -135,9 +135,7 @@ def test_lines_within_a_fifth_of_their_words(spark):
         assert lines.within_edits(a, b, d) and not (d and lines.within_edits(a, b, d - 1))
 
 
-@pytest.mark.parametrize("common", [0, lines.COMMON])
-def test_near_lines_of_repeated_rows(spark, common, monkeypatch):
-    monkeypatch.setattr(lines, "COMMON", common)
+def test_near_lines_of_repeated_rows(spark):
     ten = "a b c d e f g h i j"
     rows = [(1, ten), (1, ten), (2, "a b c d e f g h i x"), (2, "a b c d e f g h i x"), (3, "k l m n o p"), (4, "k l m n o q"), (4, "k l m n o q"), (5, "y b c d e f g h i z"), (5, "y b c d e f g h i z")]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
