@@ -1,4 +1,4 @@
-"""python -m strandplan.cli --input FOLDER --output FOLDER (--sro X | --sros X,Y | --all-pilots | --list-sros) [--until STAGE]
+"""python -m strandplan.cli --input FOLDER --output FOLDER (--sro X [--sro Y] | --sros X,Y | --all-pilots | --all | --list-sros) [--until STAGE]
 
 Exit 0: all well; 1: some area was not there; 2: bad input.
 """
@@ -12,9 +12,17 @@ from pyspark.sql import functions as F
 
 from .functions.layers import layer
 from .plans.planning import STAGES, plan_areas
-from .session import local_session
+from .session import session
 from .sources.tables import UnknownArea, one_area, write_layers
 
+# The pilot areas.
+PILOTS = (
+    "63149/M06/PMZ/42478",
+    "63257/QSB/PMZ/56934",
+    "63210/M06/PMZ/29655",
+    "63048/QBO/PMZ/56826",
+    "63258/LLW/PMZ/24228",
+)
 INPUTS = ("bal", "za_sro", "pa", "zapa", "parcelle", "infra", "road")
 
 
@@ -24,9 +32,10 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--layers", action="store_true", help="the input holds the layers themselves")
     p.add_argument("--output")
     which = p.add_mutually_exclusive_group(required=True)
-    which.add_argument("--sro")
+    which.add_argument("--sro", action="append", help="one code; may be given again")
     which.add_argument("--sros", help="codes with commas between")
-    which.add_argument("--all-pilots", action="store_true")
+    which.add_argument("--all-pilots", action="store_true", help="the five pilot areas")
+    which.add_argument("--all", action="store_true", help="every area of the input")
     which.add_argument("--list-sros", action="store_true")
     p.add_argument("--until", choices=STAGES, default="layers")
     return p
@@ -34,7 +43,7 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
-    spark = local_session("*", 8)
+    spark = session()
     layers = {n: spark.read.parquet(f"{args.input}/{n}") if args.layers else layer(spark, args.input, n) for n in INPUTS}
     if args.list_sros:
         for r in layers["za_sro"].select("sro").dropna().distinct().orderBy("sro").toLocalIterator():
@@ -44,8 +53,9 @@ def main(argv: list[str] | None = None) -> int:
         print("--output is missing", file=sys.stderr)
         return 2
     failed = 0
-    if not args.all_pilots:
-        wanted = [s.strip() for s in (args.sro or args.sros).split(",") if s.strip()]
+    if not args.all:
+        given = PILOTS if args.all_pilots else args.sro or args.sros.split(",")
+        wanted = [s.strip() for s in given if s.strip()]
         found = []
         for s in wanted:
             try:

@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage in the folder of spark.checkpoint.dir, which executors share; set a folder only where there is none."""
+    """Cut the lineage in the folder of spark.checkpoint.dir, which executors share; of its own one only where Spark runs on one machine and none is set."""
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         where = spark.conf.get("spark.checkpoint.dir", None)
         if not where:
+            if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+                raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
             import tempfile
 
             where = tempfile.mkdtemp(prefix="strandplan-checkpoint-")
@@ -20,7 +22,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """node, component (the smallest node reachable) for every node of an edge table.
 
     Alternates large-star and small-star rounds: each round hangs nodes on the smallest neighbour known, so the
@@ -32,7 +34,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
     now = checkpointed(pairs.where("lo <> hi").distinct())
     alone = pairs.where("lo = hi").select(F.col("lo").alias("node"))
     nodes = pairs.select(F.col("lo").alias("node")).union(pairs.select("hi")).union(alone).distinct()
-    for _ in range(max_rounds):
+    while True:
         both = now.select(F.col("lo").alias("u"), F.col("hi").alias("v")).union(now.select("hi", "lo"))
         smallest = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(smallest, "u").select(F.col("m").alias("lo"), F.col("v").alias("hi")).where("lo <> hi").distinct()

@@ -10,7 +10,7 @@ BURIED_MARKS = ("cable enterre", "cable enterree", "câble enterré")
 SOURCE_TAGS = {"athd": ("7", "E"), "bt": ("1", "E"), "chem": ("C7", "E")}
 ROUTE_FACTORS = {"infra": 1, "gc_neuf": 10, "ign_route": 30}
 D3_LIMIT = 100.0
-ROAD_CLASSES = ("motorway", "trunk", "primary", "secondary", "tertiary", "unclassified", "residential", "living_street", "service", "pedestrian", "road", "track", "path")
+ROAD_CLASSES = ("motorway", "trunk", "primary", "secondary", "tertiary", "unclassified", "residential", "service", "living_street", "pedestrian")
 HIERARCHY = {"ft": 0, "chem": 0, "athd": 1, "bt": 3, "gc_neuf": 4}
 AUTO_TARGET = 80.0
 STYLE_CODES = ("C0", "E0", "E1", "E2", "E3", "E7", "C7")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ def distance_clusters(points: DataFrame, node: str, radius: float, on: list[str]
     """points with cluster: the smallest node that chains of steps up to the radius (inclusive) reach.
 
     Points of one grid cell of diagonal under the radius are one cluster already, so cells are linked, not points: by their points' boxes
-    where those tell, else by one pair near enough.  A crowded area costs its cells, not the square of its points.
+    where those tell, else (``_met``) by smaller cells in them.  A crowded area costs its cells, not the square of its points.
     """
     keys = list(on or [])
     side = radius / 1.4143
@@ -35,13 +36,48 @@ def distance_clusters(points: DataFrame, node: str, radius: float, on: list[str]
     near, far = (F.sqrt(d[0] * d[0] + d[1] * d[1]) for d in (gap, span))
     pairs = checkpointed(pairs.where(near <= radius).select("a_rep", "b_rep", (far <= radius).alias("sure")))
     member = celled.join(cells.select(*keys, "_gx", "_gy", "rep"), [*keys, "_gx", "_gy"])
-    open_ = pairs.where("not sure").select("a_rep", "b_rep")
-    ends = [member.select(F.col("rep").alias(f"{s}_rep"), F.col("x").alias(f"{s}x"), F.col("y").alias(f"{s}y")) for s in "ab"]
-    met = open_.join(ends[0], "a_rep").join(ends[1], "b_rep").where(point_distance("ax", "ay", "bx", "by") <= radius).select("a_rep", "b_rep").distinct()
+    met = _met(pairs.where("not sure").select("a_rep", "b_rep"), member.select("rep", "x", "y"), side, radius)
     found = connected_components(pairs.where("sure").select("a_rep", "b_rep").union(met), "a_rep", "b_rep").withColumnRenamed("node", "rep")
     return member.join(found, "rep", "left").withColumn("cluster", F.coalesce("component", "rep")).select(*points.columns, "cluster")
 
 
+DIRECT = 4096
+"""Pairs of points of two cells that are compared at once; more are cut into smaller cells first."""
+
+
+def _met(open_: DataFrame, member: DataFrame, side: float, radius: float) -> DataFrame:
+    """Of pairs of cells (a_rep, b_rep) those with points (rep, x, y) near enough.
+
+    Cells of few points are compared point by point.  The others are cut into 16; pairs of boxes tell most, and what is left open is
+    cut again, down to boxes of one place.  What a pair of cells costs so does not grow with its points.
+    """
+    size = member.groupBy("rep").agg(F.count("*").alias("n"))
+    sized = open_.join(size.toDF("a_rep", "na"), "a_rep").join(size.toDF("b_rep", "nb"), "b_rep")
+    todo = checkpointed(sized.select("a_rep", "b_rep", (F.col("na") * F.col("nb") <= DIRECT).alias("few")))
+    ends = [member.select(F.col("rep").alias(f"{s}_rep"), F.col("x").alias(f"{s}x"), F.col("y").alias(f"{s}y")) for s in "ab"]
+    few = todo.where("few").join(ends[0], "a_rep").join(ends[1], "b_rep")
+    out = few.where(point_distance("ax", "ay", "bx", "by") <= radius).select("a_rep", "b_rep").distinct()
+    many = todo.where("not few").select("a_rep", "b_rep")
+    up: list[str] = []
+    while not many.isEmpty():
+        side /= 4
+        grid = [F.floor(F.col(c) / side).alias(f"g{c}") for c in "xy"]
+        above = [F.floor(F.col(c) / (4 * side)).alias(f"u{c}") for c in "xy"]
+        boxes = member.select("rep", "x", "y", *grid, *above).groupBy("rep", "gx", "gy", "ux", "uy").agg(*(f(c).alias(n) for f, c, n in ((F.min, "x", "x0"), (F.min, "y", "y0"), (F.max, "x", "x1"), (F.max, "y", "y1"))))
+        named = [boxes.select(*(F.col(c).alias(f"{s}_{c}") for c in boxes.columns)) for s in "ab"]
+        pairs = many.join(named[0], ["a_rep", *(f"a_{u}" for u in up)]).join(named[1], ["b_rep", *(f"b_{u}" for u in up)])
+        gap = [F.greatest(F.lit(0.0), F.col(f"b_{c}0") - F.col(f"a_{c}1"), F.col(f"a_{c}0") - F.col(f"b_{c}1")) for c in "xy"]
+        span = [F.greatest(F.col(f"b_{c}1") - F.col(f"a_{c}0"), F.col(f"a_{c}1") - F.col(f"b_{c}0")) for c in "xy"]
+        near, far = (F.sqrt(d[0] * d[0] + d[1] * d[1]) for d in (gap, span))
+        pairs = checkpointed(pairs.where(near <= radius).select("a_rep", "b_rep", *(F.col(f"{s}_g{c}") for s in "ab" for c in "xy"), (far <= radius).alias("sure")))
+        sure = pairs.where("sure").select("a_rep", "b_rep").distinct()
+        out = out.union(sure)
+        left = pairs.where("not sure").join(sure, ["a_rep", "b_rep"], "left_anti")
+        many = checkpointed(left.select("a_rep", "b_rep", *(F.col(f"{s}_g{c}").alias(f"{s}_u{c}") for s in "ab" for c in "xy")).distinct())
+        up = ["ux", "uy"]
+    return out
+
+
 def welded(points: DataFrame, node: str, radius: float, on: list[str] | None = None) -> DataFrame:
     """points with cluster and wx, wy, the cluster's mean place to six decimals."""
     clustered = distance_clusters(points, node, radius, on)
@@ -83,46 +119,46 @@ def merge_small(clusters: list[tuple[float, float, float, list]], least: float =
 
 def split_k(points: list[tuple[float, float, float]], k: int, rounds: int = KMEANS_ROUNDS) -> list[int]:
     """Weighted k-means of (x, y, w), started from the heaviest point and then farthest ones: deterministic labels."""
-    first = max(range(len(points)), key=lambda i: (points[i][2], -i))
-    seeds = [first]
-    near = [math.dist(p[:2], points[first][:2]) for p in points]
+    at, w = np.array([p[:2] for p in points], float), np.array([p[2] for p in points], float)
+    away = lambda c: np.hypot(at[:, 0] - c[0], at[:, 1] - c[1])
+    seeds = [int(np.argmax(w))]
+    near = away(at[seeds[0]])
     while len(seeds) < min(k, len(points)):
-        nxt = max(range(len(points)), key=lambda i: (near[i], -i))
-        seeds.append(nxt)
-        near = [min(d, math.dist(p[:2], points[nxt][:2])) for d, p in zip(near, points, strict=True)]
-    centres = [points[s][:2] for s in seeds]
-    labels = [-1] * len(points)
+        seeds.append(int(np.argmax(near)))
+        near = np.minimum(near, away(at[seeds[-1]]))
+    centres = at[seeds].copy()
+    labels = np.full(len(points), -1)
     for _ in range(rounds):
-        new = [min(range(len(centres)), key=lambda c, p=p: (math.dist(p[:2], centres[c]), c)) for p in points]
-        if new == labels:
+        new = np.argmin(np.stack([away(c) for c in centres]), axis=0)
+        if (new == labels).all():
             break
         labels = new
-        for c in range(len(centres)):
-            own = [p for p, label in zip(points, labels, strict=True) if label == c]
-            total = sum(p[2] for p in own)
-            if total > 0:
-                centres[c] = (sum(p[0] * p[2] for p in own) / total, sum(p[1] * p[2] for p in own) / total)
-    return labels
+        total = np.bincount(labels, w, len(centres))
+        for c in np.flatnonzero(total > 0):
+            own = labels == c
+            centres[c] = (at[own] * w[own, None]).sum(axis=0) / total[c]
+    return labels.tolist()
 
 
 def split_capacity(points: list[tuple[float, float, float]], most: float = MAX_BRANCH_SOCKETS) -> list[int]:
     """Buckets of up to that weight: from the first point left, add the nearest to the bucket's mean until it does not fit."""
-    labels, left, bucket = [-1] * len(points), list(range(len(points))), 0
-    while left:
-        held = [left.pop(0)]
-        weight = points[held[0]][2]
-        while left:
-            cx, cy = sum(points[i][0] for i in held) / len(held), sum(points[i][1] for i in held) / len(held)
-            best = min(left, key=lambda i: (math.dist(points[i][:2], (cx, cy)), i))
-            if weight + points[best][2] > most:
+    at, w = np.array([p[:2] for p in points], float).reshape(-1, 2), np.array([p[2] for p in points], float)
+    labels, free, first, bucket = np.full(len(at), -1), np.ones(len(at), bool), 0, 0
+    while free.any():
+        first += int(np.argmax(free[first:]))
+        total, weight, n, i = np.zeros(2), 0.0, 0, first
+        while True:
+            labels[i], free[i] = bucket, False
+            total, weight, n = total + at[i], weight + w[i], n + 1
+            left = np.flatnonzero(free)
+            if not len(left):
+                break
+            c = total / n
+            i = int(left[np.argmin(np.hypot(at[left, 0] - c[0], at[left, 1] - c[1]))])
+            if weight + w[i] > most:
                 break
-            held.append(best)
-            left.remove(best)
-            weight += points[best][2]
-        for i in held:
-            labels[i] = bucket
         bucket += 1
-    return labels
+    return labels.tolist()
 
 
 def attachment_groups(points: DataFrame) -> DataFrame:

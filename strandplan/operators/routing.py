@@ -117,17 +117,20 @@ def path_verdicts(path_edges: DataFrame, path: str, order: str) -> DataFrame:
 def budgeted(paths: DataFrame, group: str, order: str, metres: str, most: float) -> DataFrame:
     """group, order, accepted: paths taken in order while the accepted ones' metres stay within the budget of their group.
 
-    A rejected path uses nothing, so this is a fold, not a running sum; a group's paths are folded in one row.
+    A rejected path uses nothing, so this is a fold, not a running sum: one pass over a group's paths, in one task.
     """
-    listed = paths.groupBy(group).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("k"), F.col(metres).cast("double").alias("m")))).alias("ps"))
-    start = F.struct(F.lit(0.0).alias("total"), F.array().cast("array<struct<k:bigint,ok:boolean>>").alias("out"))
 
-    def step(acc: Column, p: Column) -> Column:
-        ok = acc["total"] + p["m"] <= most
-        return F.struct((acc["total"] + F.when(ok, p["m"]).otherwise(0.0)).alias("total"), F.concat(acc["out"], F.array(F.struct(p["k"].cast("bigint").alias("k"), ok.alias("ok")))).alias("out"))
-
-    folded = listed.select(group, F.explode(F.aggregate("ps", start, step)["out"]).alias("r"))
-    return folded.select(group, F.col("r.k").alias(order), F.col("r.ok").alias("accepted"))
+    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("k")
+        used, out = 0.0, []
+        for m in pdf["m"].tolist():
+            out.append(used + m <= most)
+            used += m if out[-1] else 0.0
+        return pd.DataFrame({"g": pdf["g"], "k": pdf["k"], "accepted": out})
+
+    kinds = [paths.schema[c].dataType.simpleString() for c in (group, order)]
+    folded = paths.select(F.col(group).alias("g"), F.col(order).alias("k"), F.col(metres).cast("double").alias("m")).groupBy("g").applyInPandas(fold, f"g {kinds[0]}, k {kinds[1]}, accepted boolean")
+    return folded.select(F.col("g").alias(group), F.col("k").alias(order), "accepted")
 
 
 def path_budget_ok(road: Column, total: Column) -> Column:

@@ -10,8 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geom import clamp_t, point_distance, segment_distance
+from ..graphs import checkpointed
 
 Box = tuple[Column, Column, Column, Column]
+Shape = tuple[str, str, str, str]
 
 
 def point_box(x: str, y: str, r: float = 0.0) -> Box:
@@ -48,13 +50,28 @@ def grid_join(left: DataFrame, right: DataFrame, left_box: Box, right_box: Box,
     return pairs.where(once & meet).drop("_cx", "_cy", "_lx", "_ly", "_rx", "_ry", "_lb", "_rb")
 
 
+RINGS, RING_FROM = (8, 3), 200.0
+"""Parts of a search radius that are tried first, for radii that are large beside the usual distance."""
+
+
 def nearest(points: DataFrame, segments: DataFrame, radius: float, key: list[str], order: list[Column], on: list[str] | None = None, exact: bool = True) -> DataFrame:
     """For each point (key, x, y) the nearest segment (x1, y1, x2, y2, and what order names) whose box meets the radius.
 
     Adds ``best``: struct (d, *order, qx, qy), least distance first, then order.  exact: only within the radius; else a segment
-    whose box meets the circle's box may be further away.  Points without any are left out.
+    whose box meets the circle's box may be further away.  Points without any are left out.  A large radius is searched in
+    rings: a point that has a segment within a part of it is done, and only the others look further.
     """
-    pairs = grid_join(points, segments, point_box("x", "y", radius), segment_box("x1", "y1", "x2", "y2"), radius, on)
+    found, left = None, points
+    for part in RINGS if radius >= RING_FROM else ():
+        ring = checkpointed(_within(left, segments, radius / part, key, order, on, True))
+        found = ring if found is None else found.unionByName(ring)
+        left = checkpointed(left.join(ring.select(*key), key, "left_anti"))
+    last = _within(left, segments, radius, key, order, on, exact)
+    return last if found is None else found.unionByName(last)
+
+
+def _within(points: DataFrame, segments: DataFrame, radius: float, key: list[str], order: list[Column], on: list[str] | None, exact: bool) -> DataFrame:
+    pairs = grid_join(points, segments, point_box("x", "y", radius), segment_box("x1", "y1", "x2", "y2"), max(radius, 50.0), on)
     t = clamp_t("x", "y", "x1", "y1", "x2", "y2")
     d = segment_distance("x", "y", "x1", "y1", "x2", "y2")
     q = [(F.col(a) + t * (F.col(b) - F.col(a))).alias(n) for a, b, n in (("x1", "x2", "qx"), ("y1", "y2", "qy"))]
@@ -64,6 +81,45 @@ def nearest(points: DataFrame, segments: DataFrame, radius: float, key: list[str
     return found.groupBy(*key).agg(F.min("hit").alias("best"))
 
 
+def nearest_of_all(points: DataFrame, targets: DataFrame, start: float, on: list[str] | None = None) -> DataFrame:
+    """seq, tseq of the nearest of all targets (tseq, tx, ty) with equal ``on``, by a radius that grows for those still without one.
+
+    Points whose ``on`` no target has are left out.
+    """
+    keys = list(on or [])
+    left, found, radius = points, None, start
+    left = checkpointed(left.join(targets.select(*keys).distinct(), keys, "left_semi") if keys else left)
+    if targets.isEmpty():
+        left = left.limit(0)
+    while True:
+        pairs = grid_join(left, targets, point_box("x", "y", radius), point_box("tx", "ty"), radius, keys)
+        hit = pairs.select("seq", F.struct(point_distance("x", "y", "tx", "ty").alias("d"), "tseq").alias("h")).where(F.col("h.d") <= radius).groupBy("seq").agg(F.min("h").alias("m"))
+        hit = checkpointed(hit.select("seq", F.col("m.tseq").alias("tseq")))
+        found = hit if found is None else found.unionByName(hit)
+        left = checkpointed(left.join(hit, "seq", "left_anti"))
+        if left.isEmpty():
+            return found
+        radius *= 4
+
+
+def near_twins(left: DataFrame, right: DataFrame, a: Shape, b: Shape, most: float, on: list[str]) -> DataFrame:
+    """Pairs of segments whose ends are all within ``most`` of the other: candidates have the first end of the one within 3 * most of an end of the other.
+
+    Were both ends of b over 2 * most from the place on b nearest to a's first end, both parts of b beyond it would have to run along a, which has
+    only one direction from its end; so one end of b is within 2 * most of that place, and that within most of a's end.
+    """
+    cell = 3 * most
+    at = [F.floor(F.col(c) / cell) for c in a[:2]]
+    near = F.explode(F.array(*(F.struct((at[0] + i).alias("_cx"), (at[1] + j).alias("_cy")) for i in (-1, 0, 1) for j in (-1, 0, 1)))).alias("_c")
+    ends = F.posexplode(F.array(*(F.struct(F.floor(F.col(x) / cell).alias("_cx"), F.floor(F.col(y) / cell).alias("_cy")) for x, y in (b[:2], b[2:])))).alias("_end", "_c")
+    lefts = left.select("*", near).select(*left.columns, "_c.*")
+    rights = right.select("*", ends).select(*right.columns, "_end", "_c.*")
+    first = (F.abs(F.floor(F.col(b[0]) / cell) - at[0]) <= 1) & (F.abs(F.floor(F.col(b[1]) / cell) - at[1]) <= 1)
+    pairs = lefts.join(rights, [*on, "_cx", "_cy"]).where((F.col("_end") == 0) | ~first)
+    far = F.greatest(*(segment_distance(*p, *s) for p, s in ((a[:2], b), (a[2:], b), (b[:2], a), (b[2:], a))))
+    return pairs.where(far <= most).drop("_cx", "_cy", "_end")
+
+
 def close_pairs(points: DataFrame, node: str, radius: float, on: list[str] | None = None) -> DataFrame:
     """a, b: pairs of points (node, x, y), a < b, no further apart than the radius (inclusive)."""
     keys = list(on or [])

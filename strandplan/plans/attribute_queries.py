@@ -95,7 +95,7 @@ def f7_parcel_public(spark, sf):
     return layer(spark, sf, "parcelle").select("seq", at.is_public().alias("is_public"))
 
 
-_ROADS = "('motorway', 'trunk', 'primary', 'secondary', 'tertiary', 'unclassified', 'residential', 'living_street', 'service', 'pedestrian', 'road', 'track', 'path')"
+_ROADS = "('motorway', 'trunk', 'primary', 'secondary', 'tertiary', 'unclassified', 'residential', 'service', 'living_street', 'pedestrian')"
 
 
 @query(oracle("road", f"select seq, highway from road where highway is null or highway in {_ROADS}"))

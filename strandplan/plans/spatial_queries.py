@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from ..functions import geom
 from ..functions.layers import layer, oracle
-from ..graphs import checkpointed
 from ..operators import attributes as at
 from ..operators import intervals, spatial
 from .attribute_queries import _REUSABLE, reusable
@@ -159,27 +158,13 @@ def j7_nearest_public_parcel(spark, sf):
     return best.select("seq", F.col("m.parcel_seq").alias("parcel_seq"), F.col("m.d").alias("d"))
 
 
-@query(oracle("bal infra", f"select seq, m.i as infra_seq, m.d as d from (select p.seq, min({{'d': {_d('p.x', 'p.y', 's.')}, 'i': s.seq}}) as m from bal p join reusable s on p.prises = 7 and {_near(500)} and {_d('p.x', 'p.y', 's.')} <= 500 group by p.seq)", reusable=_REUSABLE))
+@query(oracle("bal infra", f"select seq, m.i as infra_seq, m.d as d from (select p.seq, min({{'d': {_d('p.x', 'p.y', 's.')}, 'i': s.seq}}) as m from bal p join reusable s on {_near(500)} and {_d('p.x', 'p.y', 's.')} <= 500 group by p.seq)", reusable=_REUSABLE))
 def j8_target_snap(spark, sf):
     infra = reusable(spark, sf).select(F.col("seq").alias("infra_seq"), "x1", "y1", "x2", "y2")
-    best = spatial.nearest(layer(spark, sf, "bal").where("prises = 7"), infra, 500.0, ["seq"], [F.col("infra_seq")])
+    best = spatial.nearest(layer(spark, sf, "bal"), infra, 500.0, ["seq"], [F.col("infra_seq")])
     return best.select("seq", F.col("best.infra_seq").alias("infra_seq"), F.col("best.d").alias("d"))
 
 
-def nearest_of_all(points, targets, start: float = 2000.0):
-    """key, target of the nearest of all targets (tseq, tx, ty), by a search radius that doubles for those still without one."""
-    left, found, radius = points, None, start
-    while True:
-        pairs = spatial.grid_join(left, targets, spatial.point_box("x", "y", radius), spatial.point_box("tx", "ty"), radius)
-        hit = pairs.select("seq", F.struct(geom.point_distance("x", "y", "tx", "ty").alias("d"), "tseq").alias("h")).where(F.col("h.d") <= radius).groupBy("seq").agg(F.min("h").alias("m"))
-        hit = hit.select("seq", F.col("m.tseq").alias("tseq"))
-        found = hit if found is None else found.unionByName(hit)
-        left = checkpointed(left.join(hit, "seq", "left_anti"))
-        radius *= 4
-        if radius > 1e6 or left.isEmpty():
-            return found
-
-
 _PB = "select seq, sro, x, y, case when seq % 2 = 0 then 'ZAPA/' || cast(seq % 150 as string) end as pa_id from bal where prises >= 6 and (seq % 5 > 0 or sro < '00012')"
 _PA2 = "select * from pa where sro >= '00004'"
 
@@ -193,9 +178,9 @@ def j9_pb_to_pa_fallback(spark, sf):
     exact = pb.join(pa.select(F.col("id_metier").alias("pa_id"), F.col("seq").alias("pa_seq")), "pa_id").select("seq", "pa_seq", F.lit("pa_id").alias("reason"))
     rest = pb.join(exact.select("seq"), "seq", "left_anti")
     targets = pa.select("sro", F.col("seq").alias("tseq"), F.col("x").alias("tx"), F.col("y").alias("ty"))
-    same = rest.join(targets, "sro").groupBy("seq").agg(F.min(F.struct(geom.point_distance("x", "y", "tx", "ty"), "tseq")).alias("m")).select("seq", F.col("m.tseq").alias("tseq"))
+    same = spatial.nearest_of_all(rest.select("seq", "sro", "x", "y"), targets, 250.0, ["sro"])
     away = rest.join(targets.select("sro").distinct(), "sro", "left_anti")
-    any_ = nearest_of_all(away.select("seq", "x", "y"), targets.drop("sro"))
+    any_ = spatial.nearest_of_all(away.select("seq", "x", "y"), targets.drop("sro"), 2000.0)
     return exact.unionByName(same.unionByName(any_).select("seq", F.col("tseq").alias("pa_seq"), F.lit("nearest_pa").alias("reason")))
 
 
@@ -283,23 +268,22 @@ def j16_near_duplicate_lines(spark, sf):
     shift = F.col("seq") % 5 * 0.2
     a = infra.select("sro", F.col("seq").alias("a"), *(F.col(c).alias("a" + c) for c in ("x1", "y1", "x2", "y2")))
     b = infra.select("sro", F.col("seq").alias("b"), (F.col("x1") + shift).alias("bx1"), F.col("y1").alias("by1"), (F.col("x2") + shift).alias("bx2"), F.col("y2").alias("by2"))
-    pairs = spatial.grid_join(a, b, spatial.segment_box("ax1", "ay1", "ax2", "ay2", 0.5), spatial.segment_box("bx1", "by1", "bx2", "by2"), 100.0, ["sro"])
-    sa, sb = ("ax1", "ay1", "ax2", "ay2"), ("bx1", "by1", "bx2", "by2")
-    far = F.greatest(*(geom.segment_distance(*p, *s) for p, s in ((sa[:2], sb), (sa[2:], sb), (sb[:2], sa), (sb[2:], sa))))
-    return pairs.where(far <= 0.5).select("a", "b")
+    return spatial.near_twins(a, b, ("ax1", "ay1", "ax2", "ay2"), ("bx1", "by1", "bx2", "by2"), 0.5, ["sro"]).select("a", "b")
 
 
-@query(oracle("infra", f"select a.seq, count(*) as n from infra a join infra b on a.src = 'bt' and b.src <> 'bt' and a.sro = b.sro and {_near(2, 'b.', 'a.').replace('a.x', 'a.x1').replace('a.y', 'a.y1')} and {_d('a.x1', 'a.y1', 'b.')} <= 2 and {_d('a.x2', 'a.y2', 'b.')} <= 60 group by a.seq"))
-def j19_twins_of_energy(spark, sf):
-    infra = layer(spark, sf, "infra")
-    a = infra.where("src = 'bt'").select("sro", "seq", *(F.col(c).alias("a" + c) for c in ("x1", "y1", "x2", "y2")))
-    b = infra.where("src <> 'bt'").select("sro", "x1", "y1", "x2", "y2")
-    pairs = spatial.grid_join(a, b, spatial.point_box("ax1", "ay1", 2.0), spatial.segment_box("x1", "y1", "x2", "y2"), 100.0, ["sro"])
-    s = ("x1", "y1", "x2", "y2")
-    return pairs.where((geom.segment_distance("ax1", "ay1", *s) <= 2) & (geom.segment_distance("ax2", "ay2", *s) <= 60)).groupBy("seq").agg(F.count("*").alias("n"))
+_CAPSULES = dict(
+    m0=f"select a.seq, a.x1 as ax, a.y1 as ay, b.x1 as cx, b.y1 as cy, b.x2 as ex, b.y2 as ey, a.x2 - a.x1 as dx, a.y2 - a.y1 as dy from infra a join infra b on a.src = 'bt' and b.src <> 'bt' and a.sro = b.sro and least(a.x1, a.x2) - 2 <= greatest(b.x1, b.x2) and greatest(a.x1, a.x2) + 2 >= least(b.x1, b.x2) and least(a.y1, a.y2) - 2 <= greatest(b.y1, b.y2) and greatest(a.y1, a.y2) + 2 >= least(b.y1, b.y2)",
+    m1="select *, dx * dx + dy * dy as qa, ex - cx as ux, ey - cy as uy, (ax - cx) * dx + (ay - cy) * dy as qb1, (ax - ex) * dx + (ay - ey) * dy as qb2 from m0",
+    m2="select *, qb1 * qb1 - qa * ((ax - cx) * (ax - cx) + (ay - cy) * (ay - cy) - 4e0) as disc1, qb2 * qb2 - qa * ((ax - ex) * (ax - ex) + (ay - ey) * (ay - ey) - 4e0) as disc2, sqrt(ux * ux + uy * uy) as size, (ax - cx) * ux + (ay - cy) * uy as s1, dx * ux + dy * uy as p1, (ay - cy) * ux - (ax - cx) * uy as s2, dy * ux - dx * uy as p2 from m1",
+    m3="""select *, case when disc1 >= 0 and qa > 0 then (-qb1 - sqrt(greatest(disc1, 0e0))) / qa else 2e0 end as in1, case when disc1 >= 0 and qa > 0 then (-qb1 + sqrt(greatest(disc1, 0e0))) / qa else -1e0 end as out1,
+ case when disc2 >= 0 and qa > 0 then (-qb2 - sqrt(greatest(disc2, 0e0))) / qa else 2e0 end as in2, case when disc2 >= 0 and qa > 0 then (-qb2 + sqrt(greatest(disc2, 0e0))) / qa else -1e0 end as out2,
+ greatest(-1e9, case when p1 = 0 then case when s1 >= 0 and s1 <= size * size then -1e9 else 1e9 end else least((0e0 - s1) / p1, (size * size - s1) / p1) end, case when p2 = 0 then case when s2 >= -2e0 * size and s2 <= 2e0 * size then -1e9 else 1e9 end else least((-2e0 * size - s2) / p2, (2e0 * size - s2) / p2) end) as enter,
+ least(1e9, case when p1 = 0 then case when s1 >= 0 and s1 <= size * size then 1e9 else -1e9 end else greatest((0e0 - s1) / p1, (size * size - s1) / p1) end, case when p2 = 0 then case when s2 >= -2e0 * size and s2 <= 2e0 * size then 1e9 else -1e9 end else greatest((-2e0 * size - s2) / p2, (2e0 * size - s2) / p2) end) as leave from m2""",
+    m4="select seq, greatest(0e0, least(in1, in2, case when size > 0 and enter <= leave then enter else 2e0 end)) as t_in, least(1e0, greatest(out1, out2, case when size > 0 and enter <= leave then leave else -1e0 end)) as t_out from m3",
+)
 
 
-@query()
+@query(oracle("infra", "select seq, max(greatest(0e0, t_out - t_in)) as share, max(greatest(0e0, t_out - t_in)) >= 8e-1 as covered from m4 group by seq", **_CAPSULES))
 def j17_c0_covered_ratio(spark, sf):
     """Share of each line to create that is within 2 m of one existing line (the greatest such share, of 0.8 or more)."""
     infra = layer(spark, sf, "infra")

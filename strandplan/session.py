@@ -27,6 +27,11 @@ def ensure_importable(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def session() -> SparkSession:
+    """The session of the cluster that Spark is set up for (spark-submit, spark-defaults), or of this machine."""
+    return ensure_importable(SparkSession.builder.appName("strandplan").getOrCreate())
+
+
 def local_session(cpus: int | str = 8, partitions: int = 8) -> SparkSession:
     """A session on this machine, for tests and the benchmark."""
     spark = (
