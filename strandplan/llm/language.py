@@ -15,12 +15,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import checkpoint, text_or_empty
 
 BITS = 13
 SIZE = 1 << BITS
 FIT_DOCS = 400
 """Documents of a language that its centroids are fitted on, at most."""
+BROADCAST_IDS = 100_000
+"""Ids of all samples that are sent to all executors, some two megabytes; of more languages the sample is joined by a shuffle."""
 CLUSTERS = 4
 ROUNDS = 12
 REJECT_QUANTILE = 0.01
@@ -111,8 +113,9 @@ def _sample(learn: DataFrame, fit_docs: int) -> DataFrame:
     share = ids.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(fit_docs + 8 * fit_docs**0.5 + 64) / F.count("*")).alias("share"))
     nearest = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     few = ids.join(share, "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < (F.col("share") * (1 << 20)).cast("long") + 1)
-    chosen = few.withColumn("place", F.row_number().over(nearest)).where(F.col("place") <= fit_docs).select("doc_id", "lang")
-    return learn.select("doc_id", "lang", "text").join(chosen, ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
+    chosen = checkpoint(few.withColumn("place", F.row_number().over(nearest)).where(F.col("place") <= fit_docs).select("doc_id", "lang"))
+    few_languages = chosen.count() <= BROADCAST_IDS
+    return learn.select("doc_id", "lang", "text").join(F.broadcast(chosen) if few_languages else chosen, ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
 
 
 def centroids(learn: DataFrame, idf: np.ndarray, fit_docs: int = FIT_DOCS) -> list[tuple[str, np.ndarray, float]]:

@@ -126,8 +126,8 @@ def is_random(value: Column, classes: bool = False) -> Column:
 def find_secrets(docs: DataFrame, classes: bool = False) -> DataFrame:
     """docs with ``secrets``: array of (start, kind_no, end, kind) in order of start, then kind; code points, end exclusive.
 
-    A null text counts as empty and has none.  Kinds are searched each on its own, so spans of two kinds may overlap;
-    an entropy span that is the value of no other span is added beside the base spans, which all stay.  Extra
+    A null text counts as empty and has none.  Kinds are searched each on its own, so spans of two kinds may overlap: entropy spans
+    are added beside the base spans, which all stay, also where they cover the same characters.  Extra
     columns pass through; ``classes`` as in is_random; ``secrets`` and names starting with ``_secret`` are taken.
     """
     text = text_or_empty()
