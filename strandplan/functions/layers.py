@@ -27,7 +27,7 @@ def _block(key: str, size: int) -> str:
 
 _CUSTOMER, _SUPPLIER = _area("c_nationkey", "c_custkey", 1500), _area("s_nationkey", "s_suppkey", 100)
 _PART, _ORDER = _area("p_partkey % 25", "p_partkey", 2000), _area("o_custkey % 25", "o_custkey", 1500)
-_ZONE = "((c_custkey - 1) % 1500 + 25 * " + _block("c_custkey", 1500) + ")"
+_ZONE = "(c_custkey % 1500 + 25 * cast(floor(c_custkey / 1500e0) as bigint))"
 
 
 def _at(n: str, key: str, a: int, b: int, room: int = 2003) -> str:
@@ -48,7 +48,7 @@ LAYERS: dict[str, tuple[str, str]] = {
     "bal": ("customer", f"""select cast(c_custkey as bigint) as seq, 'BAT/' || cast(c_custkey as string) as id_metier, {_SRO.format(n=_CUSTOMER)} as sro,
         case when c_custkey % 11 = 0 then null when c_custkey % 7 = 0 then 'ORPHAN/' || cast(c_custkey % 3 as string) else 'ZAPA/' || cast(c_custkey % 400 as string) end as zapa,
         cast(c_custkey % 13 as int) as prises, {_at(_CUSTOMER, "c_custkey", 7919, 104729)} from customer"""),
-    "za_sro": ("customer", f"""select {_SRO.format(n=_ZONE)} as sro, c_name as nom_nro, {_box(_CELL_X.format(n=_ZONE), _CELL_Y.format(n=_ZONE), "2000", "2000")} from customer where (c_custkey - 1) % 1500 < 25"""),
+    "za_sro": ("customer", f"""select {_SRO.format(n=_ZONE)} as sro, c_name as nom_nro, {_box(_CELL_X.format(n=_ZONE), _CELL_Y.format(n=_ZONE), "2000", "2000")} from customer where c_custkey % 1500 < 25"""),
     "pa": ("supplier", f"""select cast(s_suppkey as bigint) as seq, 'ZAPA/' || cast(s_suppkey as string) as id_metier, {_SRO.format(n=_SUPPLIER)} as sro, {_at(_SUPPLIER, "s_suppkey", 3571, 2711)} from supplier"""),
     "zapa": ("supplier", f"""select cast(s_suppkey as bigint) as seq, case when s_suppkey % 9 = 0 then null else 'ZAPA/' || cast(s_suppkey as string) end as id_metier, {_SRO.format(n=_SUPPLIER)} as sro,
         {_box(_CELL_X.format(n=_SUPPLIER) + " + (s_suppkey * 3571) % 2003 - 150", _CELL_Y.format(n=_SUPPLIER) + " + (s_suppkey * 2711) % 2003 - 150", "300", "300")} from supplier"""),

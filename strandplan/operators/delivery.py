@@ -24,10 +24,11 @@ def node_of(x: str, y: str):
     return F.xxhash64(geom.key6(x), geom.key6(y))
 
 
-def network(infra: DataFrame, roads: DataFrame, public: DataFrame) -> tuple[DataFrame, DataFrame]:
+def network(infra: DataFrame, roads: DataFrame, public: DataFrame, gate: bool = True) -> tuple[DataFrame, DataFrame]:
     """(edges, nodes): nodes are sro, node, x, y of every line end under its welded node; edges are eid, sro, u, v, type, src, statut, mode_pose, length, can, x1, y1, x2, y2: nodes within 2 m welded, the shorter of parallel edges.
 
-    public: boxes (kind, bx0, by0, bx1, by1) that decide the strict public ground, which a road piece must lie on to be delivered.
+    public: boxes (kind, bx0, by0, bx1, by1) that decide the strict public ground, which a road piece must lie on to be delivered; not so
+    without the gate, which is lenient routing.
     """
     shape = ["x1", "y1", "x2", "y2"]
     lines = infra.select("sro", "seq", F.lit("infra").alias("type"), "src", "statut", "mode_pose", *shape)
@@ -46,7 +47,7 @@ def network(infra: DataFrame, roads: DataFrame, public: DataFrame) -> tuple[Data
     ways = edges.where("type = 'ign_route'").select("eid", *shape)
     cover = intervals.public_cover(ways, public, ["eid"], cell=150.0)
     marked = edges.join(cover, "eid", "left").withColumns({"virtual": F.lit(False), "deliverable": F.lit(True)})
-    return checkpointed(marked.withColumn("can", routing.deliverable(F.col("covered"))).drop("covered", "virtual", "deliverable")), checkpointed(places)
+    return checkpointed(marked.withColumn("can", routing.deliverable(F.col("covered") if gate else F.lit(True))).drop("covered", "virtual", "deliverable")), checkpointed(places)
 
 
 def anchored(points: DataFrame, nodes: DataFrame, key: str) -> DataFrame:
@@ -57,6 +58,32 @@ def anchored(points: DataFrame, nodes: DataFrame, key: str) -> DataFrame:
     return hit.groupBy("sro", key).agg(F.min("h").alias("m")).select("sro", key, F.col("m.node").alias("node"))
 
 
+MICRO_BRIDGE = 3.0
+
+
+def micro_bridges(edges: DataFrame, pairs: DataFrame, places: DataFrame, public: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(edges with bridges, flags): what joins pairs (sro, pa_id, pb_id, pa_node, pb_node) whose nodes lie in different components.
+
+    Nodes up to 3 m apart get a straight edge, works to create; it can be delivered if it lies on public ground, and else only helps to find a
+    route.  Those further apart get none, but a flag for review by hand.  places: node, x, y (any of a node's).
+    """
+    of = connected_components(edges, "u", "v")
+    at = places.groupBy("node").agg(F.min(F.struct("x", "y")).alias("at"))
+    held = pairs
+    for end, name in (("pa_node", "a"), ("pb_node", "b")):
+        held = held.join(of.select(F.col("node").alias(end), F.col("component").alias(f"c{name}")), end, "left").join(at.select(F.col("node").alias(end), F.col("at.x").alias(f"{name}x"), F.col("at.y").alias(f"{name}y")), end)
+    apart = checkpointed(held.where("coalesce(ca, pa_node) <> coalesce(cb, pb_node)").withColumn("d", geom.point_distance("ax", "ay", "bx", "by")))
+    near = apart.where(F.col("d") <= MICRO_BRIDGE)
+    made = near.select("sro", F.least("pa_node", "pb_node").alias("u"), F.greatest("pa_node", "pb_node").alias("v"), F.lit("gc_neuf").alias("type"), F.lit("gc_neuf").alias("src"), F.lit(None).cast("string").alias("statut"), F.lit("C0").alias("mode_pose"), F.col("d").alias("length"), *(F.col(c).alias(n) for c, n in (("ax", "x1"), ("ay", "y1"), ("bx", "x2"), ("by", "y2"))))
+    made = checkpointed(made.dropDuplicates(["sro", "u", "v"]).withColumn("eid", F.xxhash64("sro", "u", "v")))
+    cover = intervals.public_cover(made.select("eid", "x1", "y1", "x2", "y2"), public, ["eid"], cell=150.0)
+    bridges = checkpointed(made.join(cover, "eid").withColumn("can", F.col("covered")).drop("covered"))
+    laid = near.select("sro", "pa_id", "pb_id", "d", F.xxhash64("sro", F.least("pa_node", "pb_node"), F.greatest("pa_node", "pb_node")).alias("eid")).join(bridges.select("eid", "can"), "eid")
+    flags = laid.select("sro", "pa_id", "pb_id", "d", F.when(F.col("can"), "MICRO_BRIDGE_CREATED").otherwise("MICRO_BRIDGE_CREATED_VIRTUAL").alias("flag"))
+    review = apart.where(F.col("d") > MICRO_BRIDGE).select("sro", "pa_id", "pb_id", "d", F.lit("COMPONENT_BRIDGE_REQUIRED_MANUAL_REVIEW").alias("flag"))
+    return edges.unionByName(bridges.select(*edges.columns)), flags.unionByName(review)
+
+
 def routes(edges: DataFrame, pairs: DataFrame) -> DataFrame:
     """sro, pa_id, pb_id, pass, pos, eid: the edges of each pair's path; eid is null for a pair without one.
 
@@ -109,16 +136,18 @@ def routes(edges: DataFrame, pairs: DataFrame) -> DataFrame:
     return e.groupBy("sro").cogroup(pairs.select("sro", "pa_id", "pb_id", "pa_node", "pb_node").groupBy("sro")).applyInPandas(run, "sro string, pa_id string, pb_id string, pass int, pos int, eid long")
 
 
-def delivered(infra: DataFrame, roads: DataFrame, public: DataFrame, pa: DataFrame, pb: DataFrame) -> dict[str, DataFrame]:
-    """rows: the delivered edges with the paths that use them; outcomes: of every branching point.
+def delivered(infra: DataFrame, roads: DataFrame, public: DataFrame, pa: DataFrame, pb: DataFrame, gate: bool = True) -> dict[str, DataFrame]:
+    """rows: the delivered edges with the paths that use them; outcomes: of every branching point; bridges: flags of micro_bridges.
 
     pa: sro, pa_id, x, y.  pb: sro, pb_id, pa_id, x, y.  Paths are taken in the order of pa_id, pb_id; each has to be
     deliverable throughout, within the path's budget of road metres, and within what is left of its area's.
     """
-    edges, nodes = network(infra, roads, public)
+    edges, nodes = network(infra, roads, public, gate)
     pas = anchored(pa, nodes, "pa_id").select("sro", "pa_id", F.col("node").alias("pa_node"))
     pbs = anchored(pb, nodes, "pb_id").select("sro", "pb_id", F.col("node").alias("pb_node"))
     pairs = checkpointed(pb.select("sro", "pb_id", "pa_id").join(pbs, ["sro", "pb_id"]).join(pas, ["sro", "pa_id"]))
+    edges, bridges = micro_bridges(edges, pairs, nodes, public)
+    edges = checkpointed(edges)
     steps = checkpointed(routes(edges, pairs))
     walked = steps.where("eid is not null").join(edges.select("eid", "src", "length", "can"), "eid")
     path = walked.groupBy("sro", "pa_id", "pb_id").agg(F.bool_and("can").alias("can"), F.sum("length").alias("total"), F.coalesce(F.sum(F.when(F.col("src") == "ign", F.col("length"))), F.lit(0.0)).alias("m"))
@@ -146,4 +175,4 @@ def delivered(infra: DataFrame, roads: DataFrame, public: DataFrame, pa: DataFra
         .otherwise("path_broken_after_postprocess")
     )
     outcomes = pb.select("sro", "pb_id").join(reach, "pb_id", "left").join(taken.select("pb_id", "accepted", "fits"), "pb_id", "left").join(kept, "pb_id", "left")
-    return {"rows": rows, "outcomes": outcomes.select("sro", "pb_id", outcome.alias("outcome"))}
+    return {"rows": rows, "outcomes": outcomes.select("sro", "pb_id", outcome.alias("outcome")), "bridges": bridges}

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.layers import layer, oracle
 from ..operators import attributes as at
-from ..operators import finalise, intervals
+from ..operators import delivery, finalise, intervals, script_routes
 from .spatial_queries import _islands
 
 Q: dict = {}
@@ -97,3 +97,28 @@ def t11_works_dropped(spark, sf):
 def r23_finalised(spark, sf):
     """Lines by area after each step of the whole chain."""
     return finalise.finalised(rows(spark, sf), public(spark, sf))[1]
+
+
+@query()
+def r29_script_deliverable(spark, sf):
+    """Routes over the road network from attachment points to the buildings of their zones; private parcels are the obstacles."""
+    box = lambda df, *more: df.select(*more, *(F.col(c).alias("b" + c) for c in ("x0", "y0", "x1", "y1")))
+    road = layer(spark, sf, "road").where(at.road_allowed())
+    names = ["ax", "ay", "bx", "by"]
+    ways = road.select("x1", "y1", "x2", "y2").toDF(*names).unionByName(road.where("oneway <> 'yes'").select("x2", "y2", "x1", "y1").toDF(*names))
+    return script_routes.deliverable(
+        layer(spark, sf, "pa").select(F.col("seq").alias("paa_id"), "x", "y"), box(layer(spark, sf, "zapa"), F.col("seq").alias("zone_id")),
+        layer(spark, sf, "bal").select(F.col("seq").alias("paste_id"), "x", "y"), ways, box(layer(spark, sf, "parcelle").where(~at.is_public())),
+    )
+
+
+@query()
+def r14_micro_bridges(spark, sf):
+    """Pairs of consecutive lines of an area whose ends are not connected: bridged if they are near, else for review by hand."""
+    infra = layer(spark, sf, "infra").where("src = 'ft'")
+    node = delivery.node_of
+    edges = infra.select("sro", F.col("seq").alias("eid"), node("x1", "y1").alias("u"), node("x2", "y2").alias("v"), F.lit("infra").alias("type"), "src", "statut", "mode_pose", F.lit(1.0).alias("length"), F.lit(True).alias("can"), "x1", "y1", "x2", "y2")
+    places = infra.select("sro", node("x1", "y1").alias("node"), F.col("x1").alias("x"), F.col("y1").alias("y")).union(infra.select("sro", node("x2", "y2"), "x2", "y2"))
+    roads = layer(spark, sf, "road").select("sro", F.col("seq").cast("string").alias("pa_id"), F.col("seq").cast("string").alias("pb_id"), node("x1", "y1").alias("pa_node"), node("x2", "y2").alias("pb_node"), "x1", "y1", "x2", "y2")
+    ends = roads.select("sro", F.col("pa_node").alias("node"), F.col("x1").alias("x"), F.col("y1").alias("y")).union(roads.select("sro", "pb_node", "x2", "y2"))
+    return delivery.micro_bridges(edges, roads.select("sro", "pa_id", "pb_id", "pa_node", "pb_node"), places.union(ends), public(spark, sf))[1].groupBy("sro", "flag").agg(F.count("*").alias("n"))

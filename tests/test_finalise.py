@@ -160,3 +160,32 @@ def test_budget_fold_takes_what_still_fits(spark):
         for _, k, m in (r for r in rows if r[0] == g):
             assert got[(g, k)] == (used + m <= 300)
             used += m if used + m <= 300 else 0
+
+
+def test_micro_bridges(spark):
+    from strandplan.operators import delivery
+
+    kinds = "sro string, eid long, u long, v long, type string, src string, statut string, mode_pose string, length double, can boolean, x1 double, y1 double, x2 double, y2 double"
+    edges = spark.createDataFrame([("A", 1, 1, 2, "infra", "ft", "E", "7", 10.0, True, 0.0, 0.0, 10.0, 0.0), ("A", 2, 3, 4, "infra", "ft", "E", "7", 10.0, True, 12.0, 0.0, 22.0, 0.0), ("A", 3, 5, 6, "infra", "ft", "E", "7", 10.0, True, 0.0, 50.0, 2.5, 50.0)], kinds)
+    places = spark.createDataFrame([(1, 0.0, 0.0), (2, 10.0, 0.0), (3, 12.0, 0.0), (4, 22.0, 0.0), (5, 0.0, 50.0), (6, 2.5, 50.0), (7, 0.0, 52.0)], "node long, x double, y double")
+    pairs = spark.createDataFrame([("A", "pa", "near", 2, 3), ("A", "pa", "far", 1, 5), ("A", "pa", "joined", 1, 2), ("A", "pa", "private", 5, 7)], "sro string, pa_id string, pb_id string, pa_node long, pb_node long")
+    out, flags = delivery.micro_bridges(edges, pairs, places, ground(spark, (COMMUNAL, (-5, -5, 30, 5))))
+    made = {(r.u, r.v): (r.type, r.mode_pose, r.length, r.can) for r in out.where("type = 'gc_neuf'").collect()}
+    assert made == {(2, 3): ("gc_neuf", "C0", 2.0, True), (5, 7): ("gc_neuf", "C0", 2.0, False)}
+    assert {r.pb_id: r.flag for r in flags.collect()} == {"near": "MICRO_BRIDGE_CREATED", "private": "MICRO_BRIDGE_CREATED_VIRTUAL", "far": "COMPONENT_BRIDGE_REQUIRED_MANUAL_REVIEW"}
+
+
+def test_script_routes(spark):
+    from strandplan.operators import script_routes
+
+    points = spark.createDataFrame([(1, 1.0, 1.0), (2, 500.0, 500.0)], "paa_id long, x double, y double")
+    zones = spark.createDataFrame([(7, -10.0, -10.0, 300.0, 300.0), (8, -10.0, -10.0, 400.0, 400.0)], "zone_id long, bx0 double, by0 double, bx1 double, by1 double")
+    ends = spark.createDataFrame([(10, 101.0, 0.0), (11, 100.0, 99.0), (12, 299.0, 299.0), (13, 350.0, 350.0)], "paste_id long, x double, y double")
+    ways = [(0, 0, 100, 0), (100, 0, 0, 0), (100, 0, 100, 100), (0, 0, 0, 100), (0, 100, 100, 100)]
+    roads = spark.createDataFrame([tuple(map(float, w)) for w in ways], "ax double, ay double, bx double, by double")
+    wall = spark.createDataFrame([(90.0, 40.0, 110.0, 50.0)], "bx0 double, by0 double, bx1 double, by1 double")
+    got = {(r.paa_id, r.zone_id, r.paste_id): (r.status, r.n_nodes, r.infra_existante) for r in script_routes.deliverable(points, zones, ends, roads, wall).collect()}
+    assert got.pop((1, 7, 10)) == ("AUTO", 2, True)
+    status, n, found = got.pop((1, 7, 11))
+    assert n == 3 and found and status in ("AUTO", "MANUAL_REVIEW")
+    assert got == {(1, 7, 12): ("MANUAL_REVIEW", 0, False)}
