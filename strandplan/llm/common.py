@@ -33,12 +33,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def release(spark: SparkSession) -> None:
-    """Shuffle files and checkpoints that nothing refers to any more go now, not at some later collection of garbage: it takes two, as
-    the first ends plans, which hold the shuffles that the second ends."""
-    for _ in range(2):
+    """Shuffle files and checkpoints that nothing refers to any more go now, not at some later collection of garbage: it takes two or three, as
+    one ends plans, which hold the shuffles that the next ends, and the files go on another thread."""
+    alone = spark.sparkContext.master.startswith("local[")  # then nothing else has to be waited for
+    for _ in range(1 if alone else 3):
         gc.collect()
         spark.sparkContext._jvm.System.gc()
-        time.sleep(0.5)
+        time.sleep(0.0 if alone else 1.0)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
