@@ -23,7 +23,7 @@ from .tokens import encoder
 
 CAPACITY = 2048
 END_ID = 0
-ROUND_CHARS = 1 << 20
+ROUND_CHARS = 1 << 19
 PLAN_COLUMNS = "length long, rank_from long, rank_to long, copies long, first_sequence long, place long"
 
 
