@@ -143,6 +143,19 @@ def test_near_lines_of_repeated_rows(spark):
     assert got == {(2, 0), (4, 0), (5, 0)}
 
 
+def test_long_lines_of_few_words_are_not_all_paired(spark, monkeypatch):
+    rows = [(i, f"{'the ' * 20}{f'w{i} ' * 300}".strip()) for i in range(30)] + [(30, f"{'the ' * 20}{'w7 ' * 290}".strip())]
+    held, verified = [], lines._verified
+
+    def counted(pairs, near):
+        held.append(pairs.count())
+        return verified(pairs, near)
+
+    monkeypatch.setattr(lines, "_verified", counted)
+    got = {(r.doc_id, r.line) for r in lines.repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(30, 0)} and sum(held) <= 2
+
+
 def test_filter_keys_lose_no_near_line():
     from itertools import pairwise
 
