@@ -50,7 +50,7 @@ _TT = f"tan(0.7853981633974483e0 - radians(lat) / 2e0) / pow((1e0 - sin(radians(
 @query(oracle("bal", f"select seq, floor((700000e0 + pow({_TT}, {_N!r}) * {_SC!r} * sin((radians(lon) - {projection.math.radians(3.0)!r}) * {_N!r})) * 1e2 + 5e-1) / 1e2 as x, floor((6600000e0 + {_R0!r} - pow({_TT}, {_N!r}) * {_SC!r} * cos((radians(lon) - {projection.math.radians(3.0)!r}) * {_N!r})) * 1e2 + 5e-1) / 1e2 as y from (select seq, 2e0 + x / 5e3 as lon, 45e0 + y / 5e3 as lat from bal)"))
 def src10_projected(spark, sf):
     x, y = projection.to_metres(2.0 + F.col("x") / 5000.0, 45.0 + F.col("y") / 5000.0)
-    cents = lambda c: F.floor(c * 100.0 + 0.5) / 100.0
+    cents = lambda c: F.when(F.isnan(c), c).otherwise(F.floor(c * 100.0 + 0.5) / 100.0)
     return layer(spark, sf, "bal").select("seq", cents(x).alias("x"), cents(y).alias("y"))
 
 
