@@ -6,11 +6,14 @@ no distinct is needed.  No side is broadcast or crossed; a crowded cell is a ske
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geom import clamp_t, point_distance, segment_distance
-from ..graphs import checkpointed
+from ..functions.geom import at, clamp_t, point_distance, segment_distance
+from ..graphs import checkpointed, few
 
 Box = tuple[Column, Column, Column, Column]
 Shape = tuple[str, str, str, str]
@@ -24,30 +27,56 @@ def segment_box(x1: str, y1: str, x2: str, y2: str, r: float = 0.0) -> Box:
     return F.least(x1, x2) - r, F.least(y1, y2) - r, F.greatest(x1, x2) + r, F.greatest(y1, y2) + r
 
 
-def _celled(df: DataFrame, box: Box, cell: float, tag: str) -> DataFrame:
+def _celled(df: DataFrame, box: Box, cell: float) -> DataFrame:
     lo = [F.floor(c / cell) for c in box[:2]]
     hi = [F.floor(c / cell) for c in box[2:]]
-    return (
-        df.withColumn(f"_{tag}x", lo[0])
-        .withColumn(f"_{tag}y", lo[1])
-        .withColumn("_cx", F.explode(F.sequence(lo[0], hi[0])))
-        .withColumn("_cy", F.explode(F.sequence(lo[1], hi[1])))
-    )
+    return df.withColumn("_cx", F.explode(F.sequence(lo[0], hi[0]))).withColumn("_cy", F.explode(F.sequence(lo[1], hi[1])))
 
 
 def grid_join(left: DataFrame, right: DataFrame, left_box: Box, right_box: Box, cell: float, on: list[str] | None = None) -> DataFrame:
     """Pairs of rows whose boxes meet (edges included), with equal values of ``on``; other column names must differ.
 
-    Boxes are expressions on their own side's columns.  Choose the cell near the larger of the search radius and the usual box.
+    Boxes are expressions on their own side's columns; they are computed again after the join, so that a shuffled row holds its columns
+    and its cell only.  The merge hint keeps Spark from broadcasting a side because its file is small: what it reads from that may be
+    fifty times as large (a side of ``few`` rows is broadcast all the same).  Choose the cell near twice the larger of the search radius and the usual box.
+    """
+    keys = list(on or [])
+    pairs = _celled(left, left_box, cell).join(_celled(right, right_box, cell).hint("merge"), [*keys, "_cx", "_cy"])
+    once = [F.floor(F.greatest(a, b) / cell) == F.col(c) for a, b, c in zip(left_box[:2], right_box[:2], ("_cx", "_cy"), strict=True)]
+    meet = (left_box[0] <= right_box[2]) & (right_box[0] <= left_box[2]) & (left_box[1] <= right_box[3]) & (right_box[1] <= left_box[3])
+    return pairs.where(meet & once[0] & once[1]).drop("_cx", "_cy")
+
+
+def computed(df: DataFrame, **values: Column) -> DataFrame:
+    """df with columns computed once a row, one after the other, in generated methods of their own.
+
+    A column of a join's condition is written out wherever it is named, which makes methods of over 8000 bytes, and the JVM never compiles those.
+    """
+    for name, value in values.items():
+        df = df.withColumn(name, F.explode(F.array(value)))
+    return df
+
+
+def beside(points: DataFrame, lines: DataFrame, radius: float, cell: float, on: list[str] | None = None) -> DataFrame:
+    """Pairs of points (x, y) and segments (x1, y1, x2, y2) no further apart than the radius, with t and d of the nearest place.
+
+    A point is in one cell, a segment in those that it passes within the radius, so pairs meet once.  Before the exact distance a test of
+    the distance from the line's direction, a hundredth wider, turns most pairs down.
     """
     keys = list(on or [])
-    a = _celled(left.withColumn("_lb", F.array(*left_box)), left_box, cell, "l")
-    b = _celled(right.withColumn("_rb", F.array(*right_box)), right_box, cell, "r")
-    pairs = a.join(b, [*keys, "_cx", "_cy"])
-    once = (F.col("_cx") == F.greatest("_lx", "_rx")) & (F.col("_cy") == F.greatest("_ly", "_ry"))
-    lb, rb = F.col("_lb"), F.col("_rb")
-    meet = (lb[0] <= rb[2]) & (rb[0] <= lb[2]) & (lb[1] <= rb[3]) & (rb[1] <= lb[3])
-    return pairs.where(once & meet).drop("_cx", "_cy", "_lx", "_ly", "_rx", "_ry", "_lb", "_rb")
+    x1, y1, x2, y2 = map(F.col, ("x1", "y1", "x2", "y2"))
+    reach = radius + 0.01
+    lo, hi = F.least(x1, x2), F.greatest(x1, x2)
+    within = [F.least(hi, F.greatest(lo, c)) for c in (F.col("_cx") * cell - reach, (F.col("_cx") + 1) * cell + reach)]
+    ys = [F.when(x1 == x2, y).otherwise(y1 + (w - x1) * ((y2 - y1) / (x2 - x1))) for w, y in zip(within, (y1, y2), strict=True)]
+    passed = lines.withColumn("_cx", F.explode(F.sequence(F.floor((lo - reach) / cell), F.floor((hi + reach) / cell))))
+    passed = passed.withColumn("_cy", F.explode(F.sequence(F.floor((F.least(*ys) - reach) / cell), F.floor((F.greatest(*ys) + reach) / cell))))
+    own = points.withColumns({"_cx": F.floor(F.col("x") / cell), "_cy": F.floor(F.col("y") / cell)})
+    x, y = F.col("x"), F.col("y")
+    close = (x >= lo - reach) & (x <= hi + reach) & (y >= F.least(y1, y2) - reach) & (y <= F.greatest(y1, y2) + reach)
+    close = close & (F.abs((x - x1) * (y2 - y1) - (y - y1) * (x2 - x1)) <= reach * 1.01 * (F.abs(x2 - x1) + F.abs(y2 - y1)))
+    pairs = own.join(passed.hint("merge"), [*keys, "_cx", "_cy"]).where(close).drop("_cx", "_cy")
+    return computed(pairs, t=clamp_t("x", "y", "x1", "y1", "x2", "y2"), d=point_distance("x", "y", at("t", "x1", "x2"), at("t", "y1", "y2"))).where(F.col("d") <= radius)
 
 
 RINGS, RING_FROM = (8, 3), 200.0
@@ -65,20 +94,18 @@ def nearest(points: DataFrame, segments: DataFrame, radius: float, key: list[str
     for part in RINGS if radius >= RING_FROM else ():
         ring = checkpointed(_within(left, segments, radius / part, key, order, on, True))
         found = ring if found is None else found.unionByName(ring)
-        left = checkpointed(left.join(ring.select(*key), key, "left_anti"))
+        left = few(left.join(ring.select(*key), key, "left_anti"))
     last = _within(left, segments, radius, key, order, on, exact)
     return last if found is None else found.unionByName(last)
 
 
 def _within(points: DataFrame, segments: DataFrame, radius: float, key: list[str], order: list[Column], on: list[str] | None, exact: bool) -> DataFrame:
-    pairs = grid_join(points, segments, point_box("x", "y", radius), segment_box("x1", "y1", "x2", "y2"), max(radius, 50.0), on)
-    t = clamp_t("x", "y", "x1", "y1", "x2", "y2")
-    d = segment_distance("x", "y", "x1", "y1", "x2", "y2")
-    q = [(F.col(a) + t * (F.col(b) - F.col(a))).alias(n) for a, b, n in (("x1", "x2", "qx"), ("y1", "y2", "qy"))]
-    found = pairs.select(*key, F.struct(d.alias("d"), *order, *q).alias("hit"))
+    pairs = grid_join(points, segments, point_box("x", "y", radius), segment_box("x1", "y1", "x2", "y2"), max(2 * radius, 50.0), on)
+    pairs = computed(pairs, _t=clamp_t("x", "y", "x1", "y1", "x2", "y2"), _d=point_distance("x", "y", at("_t", "x1", "x2"), at("_t", "y1", "y2")))
     if exact:
-        found = found.where(F.col("hit.d") <= radius)
-    return found.groupBy(*key).agg(F.min("hit").alias("best"))
+        pairs = pairs.where(F.col("_d") <= radius)
+    q = [at("_t", a, b).alias(n) for a, b, n in (("x1", "x2", "qx"), ("y1", "y2", "qy"))]
+    return pairs.groupBy(*key).agg(F.min(F.struct(F.col("_d").alias("d"), *order, *q)).alias("best"))
 
 
 def nearest_of_all(points: DataFrame, targets: DataFrame, start: float, on: list[str] | None = None) -> DataFrame:
@@ -103,21 +130,28 @@ def nearest_of_all(points: DataFrame, targets: DataFrame, start: float, on: list
 
 
 def near_twins(left: DataFrame, right: DataFrame, a: Shape, b: Shape, most: float, on: list[str]) -> DataFrame:
-    """Pairs of segments whose ends are all within ``most`` of the other: candidates have the first end of the one within 3 * most of an end of the other.
+    """Pairs of segments whose ends are all within ``most`` of the other: candidates have both ends of the one within 1.5 * most of those of the other, in one order.
 
-    Were both ends of b over 2 * most from the place on b nearest to a's first end, both parts of b beyond it would have to run along a, which has
-    only one direction from its end; so one end of b is within 2 * most of that place, and that within most of a's end.
+    Along a's direction both ends of b are between ``most`` before a's first end and ``most`` after its last one, and, as a's ends are within
+    most of b, one of them is not further than that from either; sideways none is further than most.  So they are within 1.42 * most.
+    The cells are those of both ends at once.  Segments are taken from left to right; only where that is not clear the right side is in both orders.
     """
-    cell = 3 * most
-    at = [F.floor(F.col(c) / cell) for c in a[:2]]
-    near = F.explode(F.array(*(F.struct((at[0] + i).alias("_cx"), (at[1] + j).alias("_cy")) for i in (-1, 0, 1) for j in (-1, 0, 1)))).alias("_c")
-    ends = F.posexplode(F.array(*(F.struct(F.floor(F.col(x) / cell).alias("_cx"), F.floor(F.col(y) / cell).alias("_cy")) for x, y in (b[:2], b[2:])))).alias("_end", "_c")
-    lefts = left.select("*", near).select(*left.columns, "_c.*")
-    rights = right.select("*", ends).select(*right.columns, "_end", "_c.*")
-    first = (F.abs(F.floor(F.col(b[0]) / cell) - at[0]) <= 1) & (F.abs(F.floor(F.col(b[1]) / cell) - at[1]) <= 1)
-    pairs = lefts.join(rights, [*on, "_cx", "_cy"]).where((F.col("_end") == 0) | ~first)
-    far = F.greatest(*(segment_distance(*p, *s) for p, s in ((a[:2], b), (a[2:], b), (b[:2], a), (b[2:], a))))
-    return pairs.where(far <= most).drop("_cx", "_cy", "_end")
+    reach, cell = 1.5 * most, 40 * most
+    forward = [F.col(s[0]) <= F.col(s[2]) for s in (a, b)]
+    p = [F.when(forward[0], F.col(a[i])).otherwise(F.col(a[i - 2])) for i in range(4)]
+    lefts = left
+    for i in range(4):
+        lefts = lefts.withColumn(f"_c{i}", F.explode(F.sequence(F.floor((p[i] - 1.1 * reach) / cell), F.floor((p[i] + 1.1 * reach) / cell))))
+    lefts = lefts.select(*left.columns, F.xxhash64(*(f"_c{i}" for i in range(4))).alias("_cell"))
+    unclear = F.abs(F.col(b[0]) - F.col(b[2])) <= 4 * reach
+    rights = right.withColumn("_turned", F.explode(F.when(unclear, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))))
+    q = [[F.when(way, F.col(b[i])).otherwise(F.col(b[i - 2])) for i in range(4)] for way in (forward[1] != F.col("_turned"), forward[1])]
+    rights = rights.withColumn("_cell", F.xxhash64(*(F.floor(c / cell) for c in q[0])))
+    near, first = (reduce(and_, (F.abs(m - n) <= reach for m, n in zip(p, o, strict=True))) for o in q)
+    pairs = lefts.join(rights.hint("merge"), [*on, "_cell"]).where(near & (~F.col("_turned") | ~first)).drop("_cell", "_turned")
+    for i, (e, s) in enumerate(((a[:2], b), (a[2:], b), (b[:2], a), (b[2:], a))):
+        pairs = computed(pairs, **{f"_t{i}": clamp_t(*e, *s), f"_d{i}": point_distance(*e, at(f"_t{i}", s[0], s[2]), at(f"_t{i}", s[1], s[3]))}).where(F.col(f"_d{i}") <= most)
+    return pairs.select(*left.columns, *(c for c in right.columns if c not in on))
 
 
 def close_pairs(points: DataFrame, node: str, radius: float, on: list[str] | None = None) -> DataFrame:
