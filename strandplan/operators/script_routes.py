@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import heapq
 from collections import defaultdict
+from collections.abc import Mapping
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -43,6 +44,22 @@ def snapped_to(points: DataFrame, key: str, nodes: DataFrame) -> DataFrame:
     return pairs.where(d < SNAP).groupBy(key).agg(F.min(F.struct(d.alias("d"), "node")).alias("m")).select(key, F.col("m.node").alias("node"))
 
 
+def search(out: Mapping[int, list[tuple[int, float]]], start: int, goals: set[int]) -> dict[int, int | None]:
+    """node: the node before it, of the nodes no further from the start than the last goal that can be reached; what lies beyond it is not looked at."""
+    before: dict[int, int | None] = {}
+    heap, sought = [(0.0, start, None)], set(goals)
+    while heap and sought:
+        cost, node, prev = heapq.heappop(heap)
+        if node in before:
+            continue
+        before[node] = prev
+        sought.discard(node)
+        for b, w in out[node]:
+            if b not in before:
+                heapq.heappush(heap, (cost + w, b, node))
+    return before
+
+
 def shortest(edges: DataFrame, pairs: DataFrame) -> DataFrame:
     """start, goal, nodes: the nodes of the shortest way over directed edges (a, b, length, component) for pairs (start, goal, component).
 
@@ -51,19 +68,11 @@ def shortest(edges: DataFrame, pairs: DataFrame) -> DataFrame:
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = defaultdict(list)
-        for a, b, w in zip(left.a, left.b, left.length, strict=True):
+        for a, b, w in zip(left.a, left.b, left.length, strict=True) if len(right) else ():
             out[a].append((b, w))
         rows = []
         for start, own in right.groupby("start", sort=True):
-            before, heap = {}, [(0.0, start, None)]
-            while heap:
-                cost, node, prev = heapq.heappop(heap)
-                if node in before:
-                    continue
-                before[node] = prev
-                for b, w in out[node]:
-                    if b not in before:
-                        heapq.heappush(heap, (cost + w, b, node))
+            before = search(out, start, set(own.goal))
             for goal in sorted(set(own.goal)):
                 if goal in before:
                     way = [goal]
@@ -72,7 +81,8 @@ def shortest(edges: DataFrame, pairs: DataFrame) -> DataFrame:
                     rows.append((start, goal, way[::-1]))
         return pd.DataFrame(rows, columns=["start", "goal", "nodes"])
 
-    return edges.groupBy("component").cogroup(pairs.groupBy("component")).applyInPandas(run, "start long, goal long, nodes array<long>")
+    asked = edges.join(pairs.select("component").distinct(), "component", "left_semi")
+    return asked.groupBy("component").cogroup(pairs.groupBy("component")).applyInPandas(run, "start long, goal long, nodes array<long>")
 
 
 def deliverable(points: DataFrame, zones: DataFrame, ends: DataFrame, roads: DataFrame, obstacles: DataFrame) -> DataFrame:
