@@ -12,33 +12,51 @@ from pyspark.sql import functions as F
 
 from ..functions.geom import key6, point_distance
 from ..graphs import checkpointed, connected_components
+from .spatial import computed
 
 MIN_SOCKETS, MAX_SOCKETS, MAX_BRANCH_SOCKETS, KMEANS_ROUNDS = 50.0, 120.0, 10.0, 50
 
 
-def distance_clusters(points: DataFrame, node: str, radius: float, on: list[str] | None = None) -> DataFrame:
-    """points with cluster: the smallest node that chains of steps up to the radius (inclusive) reach.
+BLOCK = 8
+"""Cells along a side of the blocks in which neighbouring cells meet."""
+
+
+def _linked(points: DataFrame, node: str, radius: float, keys: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """points with their cell (_gx, _gy); the cells with rep, box, n, sx, sy (sums of places); and rep, component of the cells that have others in reach.
 
     Points of one grid cell of diagonal under the radius are one cluster already, so cells are linked, not points: by their points' boxes
     where those tell, else (``_met``) by smaller cells in them.  A crowded area costs its cells, not the square of its points.
     """
-    keys = list(on or [])
     side = radius / 1.4143
     celled = points.withColumns({"_gx": F.floor(F.col("x") / side), "_gy": F.floor(F.col("y") / side)})
-    cells = checkpointed(celled.groupBy(*keys, "_gx", "_gy").agg(F.min(node).alias("rep"), *(f(c).alias(n) for f, c, n in ((F.min, "x", "x0"), (F.min, "y", "y0"), (F.max, "x", "x1"), (F.max, "y", "y1")))))
-    ahead = [(dx, dy) for dx in range(3) for dy in range(-2, 3) if (dx, dy) > (0, 0)]
-    to = F.explode(F.array(*(F.struct((F.col("_gx") + dx).alias("_gx"), (F.col("_gy") + dy).alias("_gy")) for dx, dy in ahead))).alias("to")
-    box = ["rep", "x0", "y0", "x1", "y1"]
-    left = cells.select(*keys, *(F.col(c).alias("a_" + c) for c in box), to).select(*keys, *("a_" + c for c in box), "to.*")
-    pairs = left.join(cells.select(*keys, "_gx", "_gy", *(F.col(c).alias("b_" + c) for c in box)), [*keys, "_gx", "_gy"])
-    gap = [F.greatest(F.lit(0.0), F.col(f"b_{c}0") - F.col(f"a_{c}1"), F.col(f"a_{c}0") - F.col(f"b_{c}1")) for c in "xy"]
+    corner = [f(c).alias(n) for f, c, n in ((F.min, "x", "x0"), (F.min, "y", "y0"), (F.max, "x", "x1"), (F.max, "y", "y1"))]
+    cells = checkpointed(celled.groupBy(*keys, "_gx", "_gy").agg(F.min(node).alias("rep"), *corner, F.count("*").alias("n"), F.sum("x").alias("sx"), F.sum("y").alias("sy")))
+    box = ["_gx", "_gy", "rep", "x0", "y0", "x1", "y1"]
+    block = lambda c: F.floor(c / BLOCK)
+    # the right side is in its own block, the left one in all that hold cells ahead of it: up to two on, and two to either side
+    left = cells.select(*keys, *(F.col(c).alias("a_" + c) for c in box)).withColumn("_bx", F.explode(F.sequence(block(F.col("a__gx")), block(F.col("a__gx") + 2)))).withColumn("_by", F.explode(F.sequence(block(F.col("a__gy") - 2), block(F.col("a__gy") + 2))))
+    right = cells.select(*keys, *(F.col(c).alias("b_" + c) for c in box), block(F.col("_gx")).alias("_bx"), block(F.col("_gy")).alias("_by"))
+    dx, dy = F.col("b__gx") - F.col("a__gx"), F.col("b__gy") - F.col("a__gy")
+    pairs = left.join(right, [*keys, "_bx", "_by"]).where((dx >= 0) & (dx <= 2) & (dy >= -2) & (dy <= 2) & ((dx > 0) | (dy > 0)))
+    gap = {f"_{c}": F.greatest(F.lit(0.0), F.col(f"b_{c}0") - F.col(f"a_{c}1"), F.col(f"a_{c}0") - F.col(f"b_{c}1")) for c in "xy"}
     span = [F.greatest(F.col(f"b_{c}1") - F.col(f"a_{c}0"), F.col(f"a_{c}1") - F.col(f"b_{c}0")) for c in "xy"]
-    near, far = (F.sqrt(d[0] * d[0] + d[1] * d[1]) for d in (gap, span))
-    pairs = checkpointed(pairs.where(near <= radius).select("a_rep", "b_rep", (far <= radius).alias("sure")))
-    member = celled.join(cells.select(*keys, "_gx", "_gy", "rep"), [*keys, "_gx", "_gy"])
-    met = _met(pairs.where("not sure").select("a_rep", "b_rep"), member.select("rep", "x", "y"), side, radius)
-    found = connected_components(pairs.where("sure").select("a_rep", "b_rep").union(met), "a_rep", "b_rep").withColumnRenamed("node", "rep")
-    return member.join(found, "rep", "left").withColumn("cluster", F.coalesce("component", "rep")).select(*points.columns, "cluster")
+    pairs = computed(pairs, **gap).where(F.sqrt(F.col("_x") * F.col("_x") + F.col("_y") * F.col("_y")) <= radius)
+    pairs = checkpointed(pairs.select("a_rep", "b_rep", (F.sqrt(span[0] * span[0] + span[1] * span[1]) <= radius).alias("sure")))
+    links, open_ = pairs.where("sure").select("a_rep", "b_rep"), pairs.where("not sure").select("a_rep", "b_rep")
+    if not open_.isEmpty():
+        asked = open_.select(F.col("a_rep").alias("rep")).union(open_.select("b_rep")).distinct()
+        of = cells.join(asked, "rep", "left_semi").select(*keys, "_gx", "_gy", "rep")
+        member = checkpointed(celled.select(*keys, "_gx", "_gy", "x", "y").join(of, [*keys, "_gx", "_gy"]).select("rep", "x", "y"))
+        links = links.union(_met(open_, member, side, radius))
+    return celled, cells, connected_components(links, "a_rep", "b_rep").withColumnRenamed("node", "rep")
+
+
+def distance_clusters(points: DataFrame, node: str, radius: float, on: list[str] | None = None) -> DataFrame:
+    """points with cluster: the smallest node that chains of steps up to the radius (inclusive) reach."""
+    keys = list(on or [])
+    celled, cells, found = _linked(points, node, radius, keys)
+    named = cells.select(*keys, "_gx", "_gy", "rep").join(found, "rep", "left").select(*keys, "_gx", "_gy", F.coalesce("component", "rep").alias("cluster"))
+    return celled.join(named, [*keys, "_gx", "_gy"]).select(*points.columns, "cluster")
 
 
 DIRECT = 4096
@@ -78,11 +96,27 @@ def _met(open_: DataFrame, member: DataFrame, side: float, radius: float) -> Dat
     return out
 
 
+def _mean(n: Column, sx: Column, sy: Column) -> list[Column]:
+    return [key6(sx / n).alias("wx"), key6(sy / n).alias("wy")]
+
+
 def welded(points: DataFrame, node: str, radius: float, on: list[str] | None = None) -> DataFrame:
     """points with cluster and wx, wy, the cluster's mean place to six decimals."""
-    clustered = distance_clusters(points, node, radius, on)
-    centre = clustered.groupBy("cluster").agg(key6(F.avg("x")).alias("wx"), key6(F.avg("y")).alias("wy"))
-    return clustered.join(centre, "cluster")
+    keys = list(on or [])
+    celled, cells, found = _linked(points, node, radius, keys)
+    named = cells.select(*keys, "_gx", "_gy", "rep", "n", "sx", "sy").join(found, "rep", "left").withColumn("cluster", F.coalesce("component", "rep"))
+    centre = named.groupBy("cluster").agg(*_mean(F.sum("n"), F.sum("sx"), F.sum("sy")))
+    of = named.select(*keys, "_gx", "_gy", "cluster").join(centre, "cluster")
+    return celled.join(of, [*keys, "_gx", "_gy"]).select(*points.columns, "cluster", "wx", "wy")
+
+
+def moving_cells(points: DataFrame, node: str, radius: float, on: list[str]) -> DataFrame:
+    """(on, _gx, _gy, wx, wy) of the cells of radius / 1.4143 whose points weld to another place than their own to six decimals: those of several places or in reach of others."""
+    _, cells, found = _linked(points, node, radius, on)
+    tied = checkpointed(cells.join(found, "rep").select(*on, "_gx", "_gy", "n", "sx", "sy", "component"))
+    centre = tied.groupBy("component").agg(*_mean(F.sum("n"), F.sum("sx"), F.sum("sy")))
+    apart = cells.where("x0 < x1 or y0 < y1").join(tied.select(*on, "_gx", "_gy"), [*on, "_gx", "_gy"], "left_anti")
+    return tied.join(centre, "component").select(*on, "_gx", "_gy", "wx", "wy").union(apart.select(*on, "_gx", "_gy", *_mean(F.col("n"), F.col("sx"), F.col("sy"))))
 
 
 def weighted_centroids(points: DataFrame, by: list[str], weight: Column) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.layers import layer, oracle
+from ..graphs import stored
 from ..operators import attributes as at
 from ..operators import delivery, finalise, intervals, script_routes
 from .spatial_queries import _islands
@@ -53,7 +54,7 @@ def r1_healed(spark, sf):
 @query()
 def t4_split_with_paths(spark, sf):
     """Lines cut where ends meet them, with their paths."""
-    out = finalise.split_at_ends(finalise.snapped(rows(spark, sf).where("src <> 'gc_neuf'")))
+    out = finalise.split_at_ends(stored(finalise.snapped(rows(spark, sf).where("src <> 'gc_neuf'")))[0])
     return out.groupBy("sro").agg(F.count("*").alias("n_lines"), F.sum(F.size("paths")).alias("n_paths"))
 
 
