@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geom
+from ..graphs import checkpointed
 from . import attributes as at
 from . import clusters, spatial
 
@@ -52,13 +53,13 @@ def branching_points(bal: DataFrame, pa: DataFrame, zapa: DataFrame, infra: Data
     pairs = spatial.grid_join(bal.withColumn("w", at.sockets_weight()).select("seq", "w", "x", "y"), own, spatial.point_box("x", "y"), box, 300.0)
     held = pairs.where(geom.box_distance("x", "y", "bx0", "by0", "bx1", "by1") < 10).select("id_metier", "pa_sro", "pa_seq", "pax", "pay", "seq", "w", "x", "y")
     # a building may be in several zones: its node there is the pair
-    nodes = held.withColumn("node", F.col("pa_seq") * F.lit(1 << 40) + F.col("seq"))
+    nodes = checkpointed(held.withColumn("node", F.col("pa_seq") * F.lit(1 << 40) + F.col("seq")))
     grouped = clusters.distance_clusters(nodes, "node", BRANCH_GAP, ["id_metier"])
     cut = clusters.branching_buckets(grouped.select(F.col("id_metier").alias("sro"), "cluster", F.col("node").alias("seq"), "w", "x", "y"))
     joined = nodes.join(cut.select(F.col("seq").alias("node"), "cluster", "bucket"), "node")
     far = F.max(F.struct(geom.point_distance("x", "y", "pax", "pay").alias("d"), (-F.col("seq")).alias("k"), "x", "y")).alias("far")
     points = joined.groupBy("id_metier", "pa_sro", "cluster", "bucket").agg(far, F.sum("w").alias("nb_prises"), F.count("*").alias("bat_count"))
-    points = points.select("id_metier", "pa_sro", "cluster", "bucket", F.col("far.x").alias("x"), F.col("far.y").alias("y"), (-F.col("far.k")).alias("farthest_seq"), "nb_prises", "bat_count")
+    points = checkpointed(points.select("id_metier", "pa_sro", "cluster", "bucket", F.col("far.x").alias("x"), F.col("far.y").alias("y"), (-F.col("far.k")).alias("farthest_seq"), "nb_prises", "bat_count"))
     key = ["id_metier", "cluster", "bucket"]
     lines = infra.select(F.col("seq").alias("infra_seq"), "x1", "y1", "x2", "y2")
     snap = spatial.nearest(points, lines, BRANCH_SNAP, key, [F.col("infra_seq")]).select(*key, F.col("best.qx").alias("sx"), F.col("best.qy").alias("sy"))
