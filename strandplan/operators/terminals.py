@@ -43,10 +43,7 @@ def connections(points: DataFrame, lines: DataFrame) -> DataFrame:
     touch = nearest_end(points, lines, TOUCH).select("seq", F.lit("connected").alias("outcome"), F.col("node_seq").alias("target"))
     left = points.join(touch, "seq", "left_anti")
     named = lines.withColumnRenamed("seq", "line_seq")
-    pairs = spatial.grid_join(left, named, spatial.point_box("x", "y", REACH), spatial.segment_box("x1", "y1", "x2", "y2"), 100.0)
-    t = geom.clamp_t("x", "y", "x1", "y1", "x2", "y2")
-    near = pairs.select("seq", F.struct(geom.segment_distance("x", "y", "x1", "y1", "x2", "y2").alias("d"), "line_seq", t.alias("t")).alias("h")).where(F.col("h.d") <= REACH)
-    best = near.groupBy("seq").agg(F.min("h").alias("m"))
+    best = spatial.beside(left, named, REACH, 200.0).groupBy("seq").agg(F.min(F.struct("d", "line_seq", "t")).alias("m"))
     inner = (F.col("m.t") > 0) & (F.col("m.t") < 1)
     outcome = F.when(inner & (F.col("m.d") <= TOUCH), "split").when(inner & (F.col("m.d") <= STUB), "stub").otherwise("too_far")
     found = touch.unionByName(best.select("seq", outcome.alias("outcome"), F.col("m.line_seq").alias("target")))
